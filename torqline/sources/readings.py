@@ -85,3 +85,41 @@ def with_bad_rows(readings: DataFrame) -> DataFrame:
             "tool_wear_minutes": F.when(row_id % 90 != 0, F.col("tool_wear_minutes")),
         }
     )
+
+
+def failure_pattern(source: DataFrame) -> DataFrame:
+    """A training table over ``events`` in which every failure class is present and learnable.
+
+    Five groups of rows (none, twf, hdf, pwf, osf) step through fifteen sensor levels with a
+    jitter from the event's value; each failing group shows its physical signature.
+    """
+    row = source.select(
+        F.col("event_id"),
+        (F.col("event_id") % 5).alias("g"),
+        F.expr("(event_id div 5) % 15").alias("i"),
+        (F.col("value") % 1.0).alias("jitter"),
+    )
+    group, level, jitter = F.col("g"), F.col("i"), F.col("jitter")
+
+    def shift(number: int, amount: float):
+        return F.when(group == number, F.lit(amount)).otherwise(F.lit(0.0))
+
+    air = F.lit(295.0) + level * 0.3
+    rpm = F.lit(1300.0) + level * 5 + shift(0, 100.0) + shift(1, 100.0) + shift(3, 300.0) + shift(4, 100.0)
+    layout = {
+        "UDI": F.col("event_id") + 1,
+        "Product ID": features.product_id(F.element_at(F.array(*map(F.lit, "LMH")), (level % 3 + 1).cast("int")), level),
+        "Type": F.element_at(F.array(*map(F.lit, "LMH")), (level % 3 + 1).cast("int")),
+        "Air temperature [K]": F.bround(air + jitter, 1),
+        "Process temperature [K]": F.bround(air + 10.0 + jitter + shift(2, -1.2) + (jitter - 0.5), 1),
+        "Rotational speed [rpm]": (rpm + jitter * 80).cast("int"),
+        "Torque [Nm]": F.bround(25.0 + level * 0.5 + jitter * 12 + shift(3, 25.0) + shift(4, 14.0), 1),
+        "Tool wear [min]": (10 + level * 2 + jitter * 60 + shift(1, 120.0) + shift(4, 80.0)).cast("int"),
+        "Machine failure": (group != 0).cast("int"),
+        "TWF": (group == 1).cast("int"),
+        "HDF": (group == 2).cast("int"),
+        "PWF": (group == 3).cast("int"),
+        "OSF": (group == 4).cast("int"),
+        "RNF": F.lit(0),
+    }
+    return row.select(*[column.alias(name) for name, column in layout.items()])
