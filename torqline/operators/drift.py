@@ -232,15 +232,15 @@ def drift_by_window(
     numeric, categorical = list(numeric), list(categorical)
     cuts = range_cuts(current, numeric, ranges)
     return drift_from_window_counts(
-        numeric_counts(_one_side(reference, numeric, ref=True), numeric, cuts),
-        numeric_counts(_one_side(current, numeric, False, window), numeric, cuts, [window]),
-        category_counts(_one_side(reference, categorical, ref=True), categorical),
-        category_counts(_one_side(current, categorical, False, window), categorical, [window]),
+        numeric_counts(one_side(reference, numeric, ref=True), numeric, cuts),
+        numeric_counts(one_side(current, numeric, False, window), numeric, cuts, [window]),
+        category_counts(one_side(reference, categorical, ref=True), categorical),
+        category_counts(one_side(current, categorical, False, window), categorical, [window]),
         window,
     )
 
 
-def _one_side(df: DataFrame, columns: list[str], ref: bool, *extra: str) -> DataFrame:
+def one_side(df: DataFrame, columns: list[str], ref: bool, *extra: str) -> DataFrame:
     flag = F.lit(int(ref)).cast("long")
     return df.select(*columns, *extra, flag.alias("is_ref"), (1 - flag).alias("is_cur"))
 

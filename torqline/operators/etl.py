@@ -24,11 +24,14 @@ def next_udi(training: DataFrame) -> DataFrame:
     )
 
 
-def export_layout(readings: DataFrame, starting_udi: int = 1, ranges: int | None = None) -> DataFrame:
+def export_layout(
+    readings: DataFrame, starting_udi: int = 1, ranges: int | None = None, keep_id: bool = False
+) -> DataFrame:
     """Readings in the training layout, numbered in id order after the rows that exist.
 
     Flags come from the unrounded sensors. Product IDs count from 1 in each batch, so they
-    repeat between batches; ``UDI`` is the key.
+    repeat between batches; ``UDI`` is the key. ``keep_id`` adds ``reading_id``, which lets one
+    write both store a row and record that its reading was exported.
     """
     needed = readings.select("id", "machine_type", *C.SENSORS, "injected_failure")
     numbered = with_failure_flags(dense_sequence(needed, "id", "position", 1, ranges))
@@ -44,7 +47,8 @@ def export_layout(readings: DataFrame, starting_udi: int = 1, ranges: int | None
         "Machine failure": F.col("injected_failure").cast("int"),
         **{flag: F.col(flag.lower()) for flag in _FLAG_COLUMNS},
     }
-    return numbered.select(*[column.alias(name) for name, column in layout.items()])
+    kept = [F.col("id").alias("reading_id")] if keep_id else []
+    return numbered.select(*[column.alias(name) for name, column in layout.items()], *kept)
 
 
 def export_summary(export: DataFrame) -> DataFrame:
@@ -80,13 +84,11 @@ def surviving_readings(readings: DataFrame, exported_ids: DataFrame) -> DataFram
 def purge_exported(readings: DataFrame, exported_ids: DataFrame, new_path: str) -> int:
     """Write the surviving readings as a new table version and return how many rows went.
 
-    The version being read is never overwritten; the caller points readers at ``new_path``
-    once this returns.
+    The version being read is never overwritten; readers move to ``new_path`` once this
+    returns. Run it while no writer is appending to the old version.
     """
-    before = readings.count()
     surviving_readings(readings, exported_ids).write.mode("errorifexists").parquet(new_path)
-    spark = readings.sparkSession
-    return before - spark.read.schema(readings.schema).parquet(new_path).count()
+    return readings.join(exported_ids.select("id"), "id", "left_semi").count()
 
 
 def training_window(training: DataFrame, rows: int = C.TRAINING_WINDOW) -> DataFrame:

@@ -13,8 +13,18 @@ from torqline.operators import drift, etl, metrics, registry, scenario, scoring,
 from torqline.operators.prefix import dense_sequence
 from torqline.session import scratch_path
 from torqline.sources import readings as rd
-from torqline.sources import sinks, tables
+from torqline.sources import schemas, sinks, tables
+from torqline.sources.model_store import ModelStore
+from torqline.streaming import drift_watch
+from torqline.streaming import scoring as stream_scoring
+from torqline.streaming.drift_watch import DriftWatch
+from torqline.streaming.tool_state import current_tools, start_tool_state
 from torqline.training import sampling
+from torqline.training.calibration import argmax_index, average_probabilities, calibrated_probabilities
+from torqline.training.experiments import EXPERIMENTS, Experiment
+from torqline.training.model import train_model
+from torqline.training.tuning import tune_model
+from torqline.training.vectors import apply_scaling, fit_scaling, one_hot_columns
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -109,8 +119,6 @@ def feature_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def one_hot_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from torqline.training.vectors import one_hot_columns
-
     clean = features.with_type_column(rd.readings(spark, sf_dir))
     dirty = features.with_type_column(rd.with_bad_rows(rd.readings(spark, sf_dir)))
     return one_hot_columns(clean, dirty, "id")
@@ -118,8 +126,6 @@ def one_hot_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def standard_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from torqline.training.vectors import apply_scaling, fit_scaling
-
     source = rd.readings(spark, sf_dir).select("id", *C.NUMERIC_FEATURES)
     scaled = apply_scaling(source, fit_scaling(source, C.NUMERIC_FEATURES))
     return scaled.select("id", *[F.round(name, 6).alias(name) for name in C.NUMERIC_FEATURES])
@@ -518,8 +524,6 @@ def brier_multiclass(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def argmax_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from torqline.training.calibration import argmax_index
-
     probabilities = _class_probabilities(labels.encode_class(F.col("predicted_type")))
     return _labelled(spark, sf_dir).select("id", argmax_index(probabilities).alias("prediction"))
 
@@ -550,8 +554,6 @@ SIGMOIDS = [(-4.0, 1.5), (-3.0, 1.0), (-5.0, 2.5)]
 @query
 def calibrate_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sigmoid, renormalise and average: the arithmetic of a three-fold calibration."""
-    from torqline.training.calibration import average_probabilities, calibrated_probabilities
-
     scores = _class_probabilities(labels.encode_class(F.col("predicted_type")))
     classes = len(C.FAILURE_CLASSES)
     folds = [calibrated_probabilities(F.col("scores"), [sigmoid] * classes) for sigmoid in SIGMOIDS]
@@ -687,3 +689,145 @@ def bootstrap_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def tool_life_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tool_life.tool_life_cycles(rd.readings(spark, sf_dir))
+
+
+# --- training (results depend on random draws inside the learners) -------------------------------------------
+
+# Shorter fits than the full settings of the experiments, so that twelve of them finish in minutes.
+QUICK = {
+    "xgboost": {"maxIter": 8, "maxDepth": 4},
+    "lightgbm": {"maxIter": 8, "maxDepth": 3},
+    "random_forest": {"numTrees": 20, "maxDepth": 8},
+    "logreg": {"maxIter": 100},
+    "svm": {"maxIter": 10, "fourierFeatures": 64},
+    "mlp": {"maxIter": 40},
+}
+
+
+def _quick(name: str) -> Experiment:
+    experiment = EXPERIMENTS[name]
+    return experiment.with_params(**QUICK[experiment.family])
+
+
+def _window_for(spark: SparkSession, sf_dir: str, experiment: Experiment) -> DataFrame:
+    """The newest training rows; the multiclass target needs a table with all classes."""
+    if experiment.multiclass:
+        table = rd.failure_pattern(rd.events(spark, sf_dir))
+    else:
+        table = _training_table(spark, sf_dir)
+    return etl.training_window(table)
+
+
+def _training_query(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        experiment = _quick(name)
+        _, scores, _ = train_model(_window_for(spark, sf_dir, experiment), experiment)
+        rows = [(name, metric, float(value)) for metric, value in scores.items()]
+        return spark.createDataFrame(rows, "experiment string, metric string, value double")
+
+    return run
+
+
+for _name in EXPERIMENTS:
+    QUERIES[f"train_{_name}"] = _training_query(_name)
+
+
+@query
+def tune_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    experiment = EXPERIMENTS["lgbm_binary"]
+    table = _window_for(spark, sf_dir, experiment)
+    _, trials = tune_model(table, experiment, trials=2, fixed={"maxIter": 5, "maxDepth": 4})
+    rows = [(i, float(t["stepSize"]), int(t["minInstancesPerNode"]), t["mean_f1"]) for i, t in enumerate(trials)]
+    return spark.createDataFrame(rows, "trial int, step_size double, min_instances int, mean_f1 double")
+
+
+def _trained(spark: SparkSession, sf_dir: str, name: str):
+    experiment = _quick(name)
+    return experiment, *train_model(_window_for(spark, sf_dir, experiment), experiment)
+
+
+@query
+def log_and_promote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train two versions of a model, log both and report on promoting the newer one."""
+    store = ModelStore(spark, scratch_path(spark, "models"))
+    for name in ("logreg_binary", "rf_binary"):
+        experiment, model, scores, params = _trained(spark, sf_dir, name)
+        version = store.log_run(experiment, model, scores, params)
+        if name == "logreg_binary":
+            store.set_alias(experiment.model_name, version)
+    return registry.promotion_report(store.versions(), store.aliases(), store.runs())
+
+
+@query
+def score_batch_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gate and detail with trained models instead of rules."""
+    _, gate, _, _ = _trained(spark, sf_dir, "rf_binary")
+    _, detail, _, _ = _trained(spark, sf_dir, "rf_multiclass")
+    source = features.with_type_column(rd.readings(spark, sf_dir)).select("id", *C.FEATURES)
+    return scoring.response(scoring.gate_and_detail(source, gate.as_gate, detail.as_detail), "id", version="1")
+
+
+# --- streaming ---------------------------------------------------------------------------------------------
+
+
+@query
+def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings as a stream through validation and scoring; the stored predictions."""
+    raw = rd.readings_from_events(rd.stream_events(spark, sf_dir), readings_in_run=1)
+    unscored = rd.with_bad_rows(raw).drop("predicted_failure_type", "target", *C.DERIVED)
+    path = scratch_path(spark, "stream-score")
+    running = stream_scoring.start_scoring(
+        unscored, lambda: (_stream_gate, _rule_detail), f"{path}/scored", f"{path}/rejected", f"{path}/checkpoint"
+    )
+    running.awaitTermination()
+    scored = spark.read.parquet(f"{path}/scored")
+    return scored.select("id", "predicted_failure", "predicted_failure_type", "failure_probability", "target")
+
+
+def _stream_gate(df: DataFrame) -> DataFrame:
+    return df.withColumnRenamed("predicted_failure", "machine_failure")
+
+
+@query
+def stream_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of drift checks over the newest readings: audit log of what each one did."""
+    older, newer = _halves(spark, sf_dir)
+    path = scratch_path(spark, "stream-drift")
+    sinks.insert_readings(newer, f"{path}/readings")
+    baseline = quality.drop_incomplete(rd.drift_projection(older))
+    watch = DriftWatch(
+        spark,
+        baseline,
+        f"{path}/readings",
+        f"{path}/training",
+        f"{path}/audit",
+        f"{path}/requests",
+        threshold=0.2,
+    )
+    watch.start(f"{path}/checkpoint").awaitTermination()
+    log = spark.read.schema(schemas.AUDIT_LOG).json(f"{path}/audit")
+    exported = tables.load_training_table(spark, f"{path}/training").count()
+    return log.select("drift_detected", "retrain_triggered", F.lit(exported).cast("long").alias("exported_rows"))
+
+
+@query
+def stream_window_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drift per event-time day from counts kept by a stream; the last day is still open."""
+    source = rd.readings(spark, sf_dir)
+    first_day = source.agg(F.min("timestamp").cast("date")).first()[0]
+    later = F.col("timestamp").cast("date") > F.lit(first_day)
+    baseline = rd.drift_projection(source.where(~later))
+    path = scratch_path(spark, "stream-windows")
+    stream = rd.readings_from_events(rd.stream_events(spark, sf_dir), readings_in_run=1).where(later)
+    for running in drift_watch.start_window_counts(stream, baseline, f"{path}/counts", f"{path}/checkpoint"):
+        running.awaitTermination()
+    by_window = drift_watch.drift_of_closed_windows(spark, baseline, f"{path}/counts")
+    return _rounded(by_window.withColumn("day", F.col("window").cast("date"))).drop("window", "threshold")
+
+
+@query
+def stream_tool_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "stream-tools")
+    stream = rd.readings_from_events(rd.stream_events(spark, sf_dir), readings_in_run=1)
+    start_tool_state(stream, f"{path}/state", f"{path}/checkpoint").awaitTermination()
+    return current_tools(spark, f"{path}/state")

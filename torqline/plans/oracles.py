@@ -7,6 +7,7 @@ where the jobs use ranges, unions where they unpivot, and so on.
 from __future__ import annotations
 
 from torqline import config as C
+from torqline.plans.catalog import SIGMOIDS
 
 ORACLES: dict[str, str] = {}
 
@@ -646,8 +647,6 @@ _sql(
 
 
 def _averaged() -> str:
-    from torqline.plans.catalog import SIGMOIDS
-
     def raw(k: int, fold: int) -> str:
         slope, intercept = SIGMOIDS[fold]
         return f"(1 / (1 + exp({_d(slope)} * {_share(k)} + {_d(intercept)})))"
@@ -768,3 +767,43 @@ _sql(
           THEN 1 ELSE 0 END AS reset FROM readings))
     GROUP BY machine_id, cycle""",
 )
+
+# --- streaming: a stream over the whole table ends where the batch form does --------------------------------
+
+_sql(
+    "stream_score",
+    f"""SELECT id, predicted_failure, CASE WHEN predicted_failure = 1 THEN nullif({PHYSICS_TYPE}, 'none') END
+        AS predicted_failure_type, failure_probability,
+      CASE WHEN predicted_failure = 1 AND {PHYSICS_TYPE} <> 'none' THEN 'multiclass' ELSE 'binary' END AS target
+    FROM dirty WHERE {VALID}""",
+    DIRTY,
+)
+# Same test as drift_by_column on the newest 10,000 readings of the newer half, alert share 0.2.
+_NEWEST = f"""
+newest AS (
+  SELECT *, machine_type AS type, false AS is_ref
+  FROM (SELECT * FROM readings WHERE id >= (SELECT cut FROM middle) ORDER BY "timestamp" DESC, id DESC
+    LIMIT {C.CURRENT_ROWS})
+  UNION ALL SELECT *, machine_type AS type, true AS is_ref FROM readings WHERE id < (SELECT cut FROM middle)
+)"""
+_sql(
+    "stream_drift",
+    """SELECT drift_detected, drift_detected AS retrain_triggered,
+      CAST((SELECT count(*) FROM readings WHERE id >= (SELECT cut FROM middle)) AS BIGINT) AS exported_rows
+    FROM (SELECT avg(CASE WHEN drifted THEN 1 ELSE 0 END) >= CAST(0.2 AS DOUBLE) AS drift_detected FROM verdicts)""",
+    _NEWEST,
+    _ecdf(_long(C.NUMERIC_FEATURES, "newest", "is_ref")),
+    _cat_stats(["type"], "newest", "is_ref"),
+    _VERDICTS,
+)
+ORACLES["stream_window_drift"] = (
+    f"SELECT * FROM ({ORACLES['drift_by_day']}) WHERE day < (SELECT max(CAST(ts AS DATE)) FROM events)"
+)
+_sql(
+    "stream_tool_state",
+    """SELECT machine_id, CAST(sum(reset) AS BIGINT) AS tool_changes, max_by(tool_wear_minutes, id) AS current_wear,
+      count(*) AS readings
+    FROM (SELECT *, CASE WHEN tool_wear_minutes < lag(tool_wear_minutes) OVER (PARTITION BY machine_id ORDER BY id)
+        THEN 1 ELSE 0 END AS reset FROM readings)
+    GROUP BY machine_id""",
+)

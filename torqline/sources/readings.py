@@ -67,7 +67,19 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_readings(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
     """The stored readings table (a Parquet directory), optionally only what came after ``since``."""
-    return since_filter(spark.read.schema(schemas.READINGS).parquet(path), since)
+    return since_filter(spark.read.schema(schemas.READINGS).parquet(path).select(*_READING_COLUMNS), since)
+
+
+def stream_readings(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """The stored readings table as a stream."""
+    reader = spark.readStream.schema(schemas.READINGS)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(path).select(*_READING_COLUMNS)
+
+
+def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.readStream.schema(schemas.EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
 def drift_projection(readings: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from torqline import config as C
 from torqline.functions.features import engineer_features, feature_slice
@@ -11,7 +12,13 @@ from torqline.sources import schemas
 
 
 def load_training_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.TRAINING).parquet(path)
+    """The fourteen training columns, whatever bookkeeping columns the files carry."""
+    return spark.read.schema(schemas.TRAINING).parquet(path).select(*schemas.TRAINING.fieldNames())
+
+
+def load_exported_ids(spark: SparkSession, path: str) -> DataFrame:
+    """Ids of the readings that reached a training table written batch by batch."""
+    return spark.read.schema("reading_id long").parquet(path).select(F.col("reading_id").alias("id"))
 
 
 def load_baseline_csv(spark: SparkSession, path: str) -> DataFrame:
