@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import ceil
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -25,6 +26,7 @@ from torqline.training.experiments import WEIGHT, Experiment, TrainingFacts
 from torqline.training.fourier import RandomFourierFeatures
 from torqline.training.vectors import vectoriser
 
+ROWS_PER_TASK = 10_000
 _MODEL_OUTPUTS = ["rawPrediction", "probability", "prediction"]
 
 
@@ -42,6 +44,15 @@ def class_counts(df: DataFrame) -> dict[int, int]:
     return {int(r["label"]): r["n"] for r in df.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
+def spread_rows(df: DataFrame, rows: int) -> DataFrame:
+    """Rows spread over tasks by key, as many as the row count is worth, in a repeatable order.
+
+    A top-k window arrives in one partition, and learners that sample rows by their place in a
+    partition must see the same places when a lost one is rebuilt.
+    """
+    return df.repartition(ceil(rows / ROWS_PER_TASK), "UDI").sortWithinPartitions("UDI")
+
+
 def weight_column(experiment: Experiment, counts: dict[int, int]) -> Column:
     """Row weight by class, from the class counts of the training split."""
     if experiment.weighting == "ratio":
@@ -226,13 +237,16 @@ def evaluate(scored: DataFrame, experiment: Experiment) -> dict[str, float]:
 
 def train_model(training: DataFrame, experiment: Experiment) -> tuple[CalibratedModel, dict[str, float], dict]:
     """Prepare, split, fit, calibrate and evaluate; returns model, metrics and parameters."""
-    split = sampling.with_calibration_fold(sampling.with_split(prepare(training, experiment)))
+    split = sampling.with_split(prepare(training, experiment)).persist()
     train = split.where(~F.col("is_test"))
     counts = class_counts(train)
     check_classes(counts, experiment)
     preparation = fit_preparation(train, experiment)
+    folds = sampling.with_calibration_fold(train, counts).unionByName(
+        split.where("is_test").withColumn("calibration_fold", F.lit(None).cast("int"))
+    )
     prepared = (
-        preparation.transform(split)
+        preparation.transform(spread_rows(folds, sum(counts.values())))
         .select("UDI", "label", "features", "is_test", "calibration_fold")
         .withColumn(WEIGHT, weight_column(experiment, counts))
         .persist()
@@ -240,8 +254,8 @@ def train_model(training: DataFrame, experiment: Experiment) -> tuple[Calibrated
     model = fit_calibrated(prepared.where(~F.col("is_test")), experiment, preparation)
     scored = model.predict(prepared).persist()
     result = evaluate(scored, experiment)
-    scored.unpersist()
-    prepared.unpersist()
+    for frame in (scored, prepared, split):
+        frame.unpersist()
     params = {
         **experiment.params,
         "model_family": experiment.family,

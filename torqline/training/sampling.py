@@ -6,11 +6,14 @@ class, so a per-class window would sort nearly the whole table in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from torqline import config as C
-from torqline.functions.hashing import CALIBRATION_CUTS, CV_CUTS, fold_of, test_split
+from torqline.functions.hashing import CALIBRATION_CUTS, CV_CUTS, fold_of, hash_integer, test_split
+
+# Below this many rows a class is small enough to be ranked in one task.
+RARE_CLASS_ROWS = 10_000
 
 
 def with_split(df: DataFrame, key: str = "UDI") -> DataFrame:
@@ -22,8 +25,19 @@ def with_cv_fold(df: DataFrame, key: str = "UDI") -> DataFrame:
     return df.withColumn("fold", fold_of(F.col(key), CV_CUTS, f"cv-{C.SEED}"))
 
 
-def with_calibration_fold(df: DataFrame, key: str = "UDI") -> DataFrame:
-    return df.withColumn("calibration_fold", fold_of(F.col(key), CALIBRATION_CUTS, f"calibration-{C.SEED}"))
+def with_calibration_fold(df: DataFrame, counts: dict[int, int], key: str = "UDI", label: str = "label") -> DataFrame:
+    """Adds ``calibration_fold``; every class with a row per fold is present in every fold.
+
+    Rare classes are dealt out in turn, which needs a window over their few rows. Classes too
+    large for that fill all folds by hash alone.
+    """
+    rare = [k for k, n in counts.items() if n <= RARE_CLASS_ROWS]
+    is_rare = F.col(label).isin(rare) if rare else F.lit(False)
+    salt = f"calibration-{C.SEED}"
+    turn = F.row_number().over(Window.partitionBy(label).orderBy(hash_integer(F.col(key), salt), key))
+    dealt = df.where(is_rare).withColumn("calibration_fold", (turn - 1) % C.CALIBRATION_FOLDS)
+    banded = df.where(~is_rare).withColumn("calibration_fold", fold_of(F.col(key), CALIBRATION_CUTS, salt))
+    return dealt.unionByName(banded)
 
 
 def imbalance_ratio(train: DataFrame, label: str = "label") -> DataFrame:

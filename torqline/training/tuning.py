@@ -18,7 +18,7 @@ from torqline.operators import metrics
 from torqline.training import sampling
 from torqline.training.experiments import WEIGHT, Experiment, TrainingFacts, draw
 from torqline.training.fourier import RandomFourierFeatures
-from torqline.training.model import class_counts, prepare, weight_column
+from torqline.training.model import class_counts, prepare, spread_rows, weight_column
 from torqline.training.vectors import vectoriser
 
 
@@ -85,6 +85,7 @@ def tune_model(
     points = [{**experiment.params, **p, **(fixed or {})} for p in trial_points(experiment, trials)]
     train = sampling.with_split(prepare(training, experiment)).where(~F.col("is_test"))
     counts = class_counts(train)
+    train = spread_rows(train, sum(counts.values()))
     vectors = Pipeline(stages=vectoriser()).fit(train).transform(train)
     vectors = vectors.withColumnRenamed("features", "raw_features") if experiment.scaled else vectors
     column = "raw_features" if experiment.scaled else "features"
