@@ -6,6 +6,8 @@ every statistic of every feature then comes from one aggregate over those counts
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,8 @@ from torqline.operators.prefix import range_cuts, running_sums, with_range
 
 KS, CHI2, Z_TEST = "K-S p_value", "chi-square p_value", "Z-test p_value"
 WASSERSTEIN, JENSEN_SHANNON = "Wasserstein distance (normed)", "Jensen-Shannon distance"
+# Statistics that categories do not have.
+_NUMBERS_ONLY = ["ks", "distance", "std_ref", "wasserstein"]
 
 
 def tagged_union(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
@@ -149,6 +153,7 @@ def category_statistics(counts: DataFrame, by: list[str] | None = None) -> DataF
         .withColumn("order_key", F.col("category"))
         .groupBy(*keys)
         .agg(*[c.alias(name) for name, c in _count_statistics(F.col("total_ref"), F.col("total_cur")).items()])
+        .withColumns({name: F.lit(None).cast("double") for name in _NUMBERS_ONLY})
         .withColumn("numeric", F.lit(False))
     )
 
@@ -201,13 +206,14 @@ def drift_statistics(
     categorical: list[str] = ("type",),
     ranges: int | None = None,
 ) -> DataFrame:
-    statistics = numeric_statistics(paired_ecdf(reference, current, list(numeric), ranges))
-    if not categorical:
-        return statistics
-    pair = tagged_union(reference, current, list(categorical))
-    return statistics.unionByName(
-        category_statistics(category_counts(pair, list(categorical))), allowMissingColumns=True
-    )
+    numeric, categorical = list(numeric), list(categorical)
+    parts = []
+    if numeric:
+        parts.append(numeric_statistics(paired_ecdf(reference, current, numeric, ranges)))
+    if categorical:
+        pair = tagged_union(reference, current, categorical)
+        parts.append(category_statistics(category_counts(pair, categorical)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def drift_by_column(
@@ -265,7 +271,7 @@ def drift_from_window_counts(
     by = [window]
     numbers = numeric_statistics(ecdf_from_counts(aligned(ref_numbers, cur_numbers, ["range", "value"]), by), by)
     categories = category_statistics(aligned(ref_categories, cur_categories, ["category"]), by)
-    return choose_tests(numbers.unionByName(categories, allowMissingColumns=True), by)
+    return choose_tests(numbers.unionByName(categories), by)
 
 
 def drift_verdict(by_column: DataFrame, threshold: float = C.DRIFT_SHARE_THRESHOLD) -> DataFrame:

@@ -43,14 +43,19 @@ def range_cuts(
 
 
 def with_range(df: DataFrame, column: str, cuts: list[float], output: str) -> DataFrame:
-    """Add the number of the range a value falls in (binary search on the JVM)."""
+    """Add the number of the range a value falls in (binary search on the JVM).
+
+    The number is never null. A nullable join key would get a null filter on one of the two
+    branches that share a shuffle, and the shuffle would then run twice.
+    """
     if not cuts:
-        return df.withColumn(output, F.lit(0.0))
+        return df.withColumn(output, F.lit(0))
     axis = f"__{output}_axis"
     bucketizer = Bucketizer(
         splits=[float("-inf"), *cuts, float("inf")], inputCol=axis, outputCol=output, handleInvalid="keep"
     )
-    return bucketizer.transform(df.withColumn(axis, F.col(column).cast("double"))).drop(axis)
+    ranged = bucketizer.transform(df.withColumn(axis, F.col(column).cast("double"))).drop(axis)
+    return ranged.withColumn(output, F.coalesce(F.col(output).cast("int"), F.lit(-1)))
 
 
 def running_sums(
