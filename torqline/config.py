@@ -98,7 +98,7 @@ ALERT_HIGH = 0.85
 ALERT_LOW = 0.50
 HISTOGRAM_BINS = 20
 # Rows one range of the prefix-sum helper should hold, and the most ranges it will make.
-ROWS_PER_RANGE = 1_000_000
+ROWS_PER_RANGE = 100_000
 MAX_RANGES = 16_384
 # An id chunk holds at most this many rows because ids are unique.
 ID_CHUNK_ROWS = 1 << 20

@@ -37,20 +37,23 @@ def numeric_counts(
     ranged = pair
     for name in columns:
         ranged = with_range(ranged, name, cuts[name], f"__range_{name}")
+    # Numbers instead of names while rows are many: shorter keys to hash and to shuffle.
     cells = [
         F.struct(
-            F.lit(name).alias("feature"),
+            F.lit(number).alias("code"),
             F.col(f"__range_{name}").alias("range"),
             F.col(name).cast("double").alias("value"),
         )
-        for name in columns
+        for number, name in enumerate(columns)
     ]
-    return (
+    counts = (
         ranged.select("is_ref", "is_cur", *by, F.inline(F.array(*cells)))
         .where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy(*by, "feature", "range", "value")
+        .groupBy(*by, "code", "range", "value")
         .agg(F.sum("is_ref").alias("n_ref"), F.sum("is_cur").alias("n_cur"))
     )
+    names = F.array(*[F.lit(name) for name in columns])
+    return counts.select(*by, names[F.col("code")].alias("feature"), "range", "value", "n_ref", "n_cur")
 
 
 def category_counts(pair: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:

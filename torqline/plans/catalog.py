@@ -803,6 +803,7 @@ def stream_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{path}/audit",
         f"{path}/requests",
         threshold=0.2,
+        export_always=True,
     )
     watch.start(f"{path}/checkpoint").awaitTermination()
     log = spark.read.schema(schemas.AUDIT_LOG).json(f"{path}/audit")
