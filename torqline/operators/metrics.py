@@ -6,6 +6,9 @@ scores to counts per distinct score.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -97,14 +100,14 @@ def brier_binary(label: Column, probability: Column) -> Column:
     return F.avg((probability - label) * (probability - label))
 
 
-def brier_multiclass(label: Column, probabilities: Column) -> Column:
+def brier_multiclass(label: Column, probabilities: Column, classes: int) -> Column:
     """Half the mean squared distance to the one-hot label, so it shares the binary 0..1 scale."""
-    squared = F.transform(
-        probabilities,
-        lambda p, k: (p - F.when(k == label, F.lit(1.0)).otherwise(F.lit(0.0)))
-        * (p - F.when(k == label, F.lit(1.0)).otherwise(F.lit(0.0))),
-    )
-    return F.avg(F.aggregate(squared, F.lit(0.0), lambda total, x: total + x)) / 2.0
+
+    def squared(k: int) -> Column:
+        error = probabilities[k] - F.when(label == k, F.lit(1.0)).otherwise(F.lit(0.0))
+        return error * error
+
+    return F.avg(reduce(add, [squared(k) for k in range(classes)])) / 2.0
 
 
 def overfit(f1_train: Column, f1_test: Column) -> dict[str, Column]:

@@ -506,10 +506,8 @@ def brier_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _class_probabilities(predicted_index: Column) -> Column:
     """The stored probability for the predicted class, the rest shared by the other four."""
     p = F.col("failure_probability")
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(len(C.FAILURE_CLASSES) - 1)),
-        lambda k: F.when(k == predicted_index, p).otherwise((F.lit(1.0) - p) / F.lit(4.0)),
-    )
+    rest = (F.lit(1.0) - p) / F.lit(4.0)
+    return F.array(*[F.when(predicted_index == k, p).otherwise(rest) for k in range(len(C.FAILURE_CLASSES))])
 
 
 @query
@@ -518,7 +516,7 @@ def brier_multiclass(spark: SparkSession, sf_dir: str) -> DataFrame:
         labels.encode_class(F.col("failure_type")).alias("label"),
         _class_probabilities(labels.encode_class(F.col("predicted_type"))).alias("probabilities"),
     )
-    score = metrics.brier_multiclass(F.col("label"), F.col("probabilities"))
+    score = metrics.brier_multiclass(F.col("label"), F.col("probabilities"), len(C.FAILURE_CLASSES))
     return rows.agg(F.round(score, 9).alias("brier_score"))
 
 
@@ -558,7 +556,7 @@ def calibrate_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = len(C.FAILURE_CLASSES)
     folds = [calibrated_probabilities(F.col("scores"), [sigmoid] * classes) for sigmoid in SIGMOIDS]
     rows = _labelled(spark, sf_dir).select("id", scores.alias("scores"))
-    averaged = rows.select("id", average_probabilities(folds).alias("p"))
+    averaged = rows.select("id", average_probabilities(folds, classes).alias("p"))
     return averaged.select(
         "id", *[F.round(F.col("p")[k], 9).alias(f"p_{name}") for k, name in enumerate(C.FAILURE_CLASSES)]
     )

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from torqline import config as C
 from torqline.sources import schemas
 from torqline.sources.sinks import utc_now
+from torqline.sources.tables import if_present
 from torqline.training.experiments import Experiment
 from torqline.training.model import CalibratedModel
 
@@ -23,12 +23,8 @@ class ModelStore:
         self.root = root.rstrip("/")
 
     def _read(self, name: str, schema) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
+        stored = if_present(lambda: self.spark.read.schema(schema).parquet(f"{self.root}/{name}"))
+        return self.spark.createDataFrame([], schema) if stored is None else stored
 
     def _append(self, name: str, row: tuple, schema) -> None:
         frame = self.spark.createDataFrame([row], schema)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +14,16 @@ from torqline.functions.quality import drop_incomplete
 from torqline.sources import schemas
 
 
+def if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``read`` returns, or None when its path does not exist yet."""
+    try:
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def load_training_table(spark: SparkSession, path: str) -> DataFrame:
     """The fourteen training columns, whatever bookkeeping columns the files carry."""
     return spark.read.schema(schemas.TRAINING).parquet(path).select(*schemas.TRAINING.fieldNames())

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -40,12 +39,8 @@ class DriftWatch:
 
     def live_readings(self) -> DataFrame:
         stored = rd.load_readings(self.spark, self.readings)
-        try:
-            return etl.surviving_readings(stored, tables.load_exported_ids(self.spark, self.training))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return stored
+        exported = tables.if_present(lambda: tables.load_exported_ids(self.spark, self.training))
+        return stored if exported is None else etl.surviving_readings(stored, exported)
 
     def check(self, batch_id: int) -> bool:
         """Run one check; returns whether drift was found.
@@ -72,13 +67,10 @@ class DriftWatch:
 
     def export(self, live: DataFrame, batch_id: int) -> None:
         """Append all live readings to the training table under the number of this check."""
+        before = tables.if_present(lambda: self.spark.read.parquet(self.training))
         start = 1
-        try:
-            before = self.spark.read.parquet(self.training).where(F.col("export_batch") != batch_id)
-            start = etl.next_udi(before).first()["starting_udi"]
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if before is not None:
+            start = etl.next_udi(before.where(F.col("export_batch") != batch_id)).first()["starting_udi"]
         sinks.write_batch(etl.export_layout(live, start, keep_id=True), self.training, batch_id)
 
     def start(self, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:

@@ -7,7 +7,9 @@ scores. The calibrated probabilities of all folds are averaged.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from math import isfinite, log
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,10 +34,11 @@ def calibrated_probabilities(scores: Column, sigmoids: list[tuple[float, float]]
         score = F.get(scores, F.lit(k)) if slope else F.lit(0.0)
         return F.coalesce(sigmoid(score, slope, intercept), F.lit(0.0))
 
-    raw = F.array(*[of_class(k, slope, intercept) for k, (slope, intercept) in enumerate(sigmoids)])
-    total = F.aggregate(raw, F.lit(0.0), lambda acc, p: acc + p)
+    # Spelled out per class, so that the sum is a common subexpression of generated code.
+    raw = [of_class(k, slope, intercept) for k, (slope, intercept) in enumerate(sigmoids)]
+    total = reduce(add, raw)
     share = F.lit(1.0 / len(sigmoids))
-    return F.transform(raw, lambda p: F.when(total == 0.0, share).otherwise(p / F.nullif(total, F.lit(0.0))))
+    return F.array(*[F.when(total == 0.0, share).otherwise(p / total) for p in raw])
 
 
 def binary_probabilities(scores: Column, positive: tuple[float, float]) -> Column:
@@ -44,12 +47,9 @@ def binary_probabilities(scores: Column, positive: tuple[float, float]) -> Colum
     return F.array(F.lit(1.0) - p, p)
 
 
-def average_probabilities(folds: list[Column]) -> Column:
+def average_probabilities(folds: list[Column], classes: int) -> Column:
     """Element-wise mean of probability arrays."""
-    summed = folds[0]
-    for fold in folds[1:]:
-        summed = F.zip_with(summed, fold, lambda a, b: a + b)
-    return F.transform(summed, lambda p: p / float(len(folds)))
+    return F.array(*[reduce(add, [fold[k] for fold in folds]) / float(len(folds)) for k in range(classes)])
 
 
 def argmax_index(probabilities: Column) -> Column:

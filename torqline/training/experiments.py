@@ -64,7 +64,7 @@ class Experiment:
     @property
     def experiment_path(self) -> str:
         kind = "multiclass" if self.multiclass else "binary"
-        return f"predictive-maintenance/{self.family}/{kind}"
+        return f"predictive-maintenance/{self.family.replace('_', '-')}/{kind}"
 
     def with_params(self, **params) -> Experiment:
         return replace(self, params={**self.params, **params})

@@ -131,7 +131,8 @@ class CalibratedModel:
             with_scores = _with_scores(classifier, scored, self.score)
             scored = with_scores.withColumn(f"p_{fold}", self._probabilities(fold)).drop("scores")
         folds = [f"p_{fold}" for fold in range(len(self.classifiers))]
-        averaged = scored.withColumn("probability", average_probabilities([F.col(p) for p in folds])).drop(*folds)
+        mean = average_probabilities([F.col(p) for p in folds], self.classes)
+        averaged = scored.withColumn("probability", mean).drop(*folds)
         return averaged.withColumn("prediction", argmax_index(F.col("probability")).cast("double"))
 
     def _probabilities(self, fold: int) -> Column:
@@ -218,7 +219,7 @@ def evaluate(scored: DataFrame, experiment: Experiment) -> dict[str, float]:
     train, test = scores(False), scores(True)
     held_out = scored.where("is_test")
     if experiment.multiclass:
-        brier = metrics.brier_multiclass(F.col("label"), F.col("probability"))
+        brier = metrics.brier_multiclass(F.col("label"), F.col("probability"), len(C.FAILURE_CLASSES))
     else:
         brier = metrics.brier_binary(F.col("label"), F.col("probability")[1])
     result = {

@@ -18,7 +18,14 @@ from torqline.operators import metrics
 from torqline.training import sampling
 from torqline.training.experiments import WEIGHT, Experiment, TrainingFacts, draw
 from torqline.training.fourier import RandomFourierFeatures
-from torqline.training.model import class_counts, prepare, spread_rows, weight_column
+from torqline.training.model import (
+    CalibratedModel,
+    class_counts,
+    prepare,
+    spread_rows,
+    train_model,
+    weight_column,
+)
 from torqline.training.vectors import vectoriser
 
 
@@ -113,3 +120,16 @@ def tune_model(
     trials_table = [{**point, "mean_f1": float(score)} for point, score in zip(points, fitted.avgMetrics)]
     best = max(range(len(points)), key=lambda i: fitted.avgMetrics[i])
     return points[best], trials_table
+
+
+def tune_and_train(
+    training: DataFrame, experiment: Experiment, trials: int = 30, **search
+) -> tuple[CalibratedModel, dict[str, float], dict]:
+    """Search, then fit once more with the best point on the whole training split.
+
+    Settings outside the search space keep the experiment's values, and early stopping, which
+    needs held-out rows, is left to the search.
+    """
+    best, _ = tune_model(training, experiment, trials, **search)
+    model, scores, params = train_model(training, experiment.with_params(**best))
+    return model, scores, {**params, "tuned": True, "trials": trials}
