@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from torqline.sources.sinks import write_batch
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 CHUNK_IDS = 1 << 16
 
@@ -56,7 +57,6 @@ def start_tool_state(
 
     Readings of a chunk must arrive in id order between micro-batches, in any order within one.
     """
-    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     keyed = stream.select(
         "machine_id", F.expr(f"id div {chunk_ids}").alias("chunk"), "id", "tool_wear_minutes"
     ).groupBy("machine_id", "chunk")
@@ -66,7 +66,14 @@ def start_tool_state(
         write_batch(batch, output, batch_id, "batch_id")
 
     writer = changed.writeStream.outputMode("update").foreachBatch(handle).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"availableNow": True})).start()
+    # A query keeps the settings it started with, so the session gets its own back.
+    conf = stream.sparkSession.conf
+    before = conf.get(_PROVIDER, None)
+    conf.set(_PROVIDER, ROCKSDB)
+    try:
+        return writer.trigger(**(trigger or {"availableNow": True})).start()
+    finally:
+        conf.set(_PROVIDER, before) if before else conf.unset(_PROVIDER)
 
 
 def current_tools(spark: SparkSession, output: str) -> DataFrame:
