@@ -366,23 +366,29 @@ _IS_REF = "id < (SELECT cut FROM middle)"
 _PAIR = _ecdf(_long(C.NUMERIC_FEATURES, "readings", _IS_REF))
 _TYPE = _cat_stats(["type"], "(SELECT *, machine_type AS type FROM readings)", _IS_REF)
 
-# Every reference here has more than 1000 rows, so the distance tests apply.
+_N = "(CAST(n_ref AS DOUBLE) * n_cur / (n_ref + n_cur))"
+_KS_P = f"""CASE WHEN {_N} * ks * ks < {_d(0.04)} THEN {_d(1)} ELSE least(greatest(list_sum(list_transform(
+  range(1, 101), lambda k: CASE WHEN k % 2 = 1 THEN 2 ELSE -2 END * exp({_d(-2)} * k * k * {_N} * ks * ks)
+)), {_d(0)}), {_d(1)}) END"""
+# The reference size decides the kind of test. Numeric features here have more than five
+# values; small references only meet categories with three levels (2 degrees of freedom).
+_SMALL = f"n_ref <= {C.SMALL_REFERENCE}"
 _VERDICTS = f"""
 verdicts AS (
-  SELECT *, {_d(C.DISTANCE_THRESHOLD)} AS threshold, value > {_d(C.DISTANCE_THRESHOLD)} AS drifted FROM (
-    SELECT feature,
-      CASE WHEN n_values > {C.FEW_VALUES} THEN 'Wasserstein distance (normed)' ELSE 'Jensen-Shannon distance' END
-        AS method,
-      CASE WHEN n_values > {C.FEW_VALUES} THEN wasserstein ELSE js END AS value, n_ref, n_cur
-    FROM num_stats
-    UNION ALL SELECT feature, 'Jensen-Shannon distance', js, n_ref, n_cur FROM cat_stats)
+  SELECT *, CASE WHEN method LIKE '%distance%' THEN value > threshold ELSE value < threshold END AS drifted
+  FROM (SELECT *, CASE WHEN method LIKE '%distance%' THEN {_d(C.DISTANCE_THRESHOLD)}
+      ELSE {_d(C.P_VALUE_THRESHOLD)} END AS threshold
+    FROM (
+      SELECT feature, CASE WHEN {_SMALL} THEN 'K-S p_value' ELSE 'Wasserstein distance (normed)' END AS method,
+        CASE WHEN {_SMALL} THEN {_KS_P} ELSE wasserstein END AS value, n_ref, n_cur
+      FROM num_stats
+      UNION ALL
+      SELECT feature, CASE WHEN {_SMALL} THEN 'chi-square p_value' ELSE 'Jensen-Shannon distance' END,
+        CASE WHEN {_SMALL} THEN exp(-chi2 / 2) ELSE js END, n_ref, n_cur
+      FROM cat_stats))
 )"""
 
 _sql("ecdf_pair", "SELECT feature, value, n_ref, n_cur, cum_ref, cum_cur FROM ecdf", _PAIR)
-_N = "(CAST(n_ref AS DOUBLE) * n_cur / (n_ref + n_cur))"
-_KS_P = f"""CASE WHEN {_N} * ks * ks < {_d(0.04)} THEN {_d(1)} ELSE least(greatest(list_sum(list_transform(
-  range(1, 101), lambda k: CASE WHEN k % 2 = 1 THEN 2 ELSE -2 END * exp({_d(-2)} * k * k * {_N} * ks * ks)
-)), {_d(0)}), {_d(1)}) END"""
 _sql("ks_drift", f"SELECT feature, round(ks, 9) AS ks, round({_KS_P}, 9) AS p_value FROM num_stats", _PAIR)
 _sql("wasserstein_drift", "SELECT feature, round(wasserstein, 9) AS wasserstein FROM num_stats", _PAIR)
 _CATS = _cat_stats(
@@ -479,8 +485,6 @@ paired AS (
   SELECT d.* REPLACE (days.day AS day), true AS is_ref FROM dated d, days
   WHERE d.day = (SELECT day FROM first_day)
 )"""
-# The reference size decides the kind of test, so both kinds are spelled out.
-_SMALL = f"n_ref <= {C.SMALL_REFERENCE}"
 _CHI2_P = "exp(-chi2 / 2)"
 _sql(
     "drift_by_day",
