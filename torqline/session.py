@@ -30,13 +30,16 @@ def build_session(app_name: str = "torqline", master: str | None = None, **conf:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a session that names none (tests, a laptop) gets a folder of its own.
+    Only a local session that names none (tests, a laptop) gets a folder of its own; on a cluster that
+    folder would lie on the disk of one machine, so it is refused.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         current = spark.sparkContext.getCheckpointDir()
         if current:
             return current
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="torqline-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
