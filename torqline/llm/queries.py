@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from torqline.llm import exact, sharding
+from torqline.llm import exact, packing, records, sharding
 from torqline.llm.common import table
 
 
@@ -23,6 +24,16 @@ def op1_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return records.record_digests(spark, docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
+def op5_certified_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
 def op9_digest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact.digest_groups(table(spark, sf_dir, "documents"))
     return groups.select(
@@ -32,6 +43,8 @@ def op9_digest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_hypergeometric_shards": op1_hypergeometric_shards,
+    "op4_token_records": op4_token_records,
+    "op5_certified_packing": op5_certified_packing,
     "op9_digest_runs": op9_digest_runs,
 }
 
