@@ -164,7 +164,7 @@ def pack_documents(
         rooms = {
             r["room"]: (r["bins"], r["pieces"])
             for r in placed.groupBy("room")
-            .agg(F.count_if("offset = 0").alias("bins"), F.count("*").alias("pieces"))
+            .agg(F.count_if(F.col("offset") == 0).alias("bins"), F.count("*").alias("pieces"))
             .collect()
         }
         limit = _release_limit({room: bins for room, (bins, _) in rooms.items()}, capacity)

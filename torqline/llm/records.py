@@ -27,7 +27,8 @@ from torqline.llm.common import shuffle_partitions, stored
 from torqline.llm.tokens import encoder
 from torqline.session import scratch_path
 
-_HEAD, _BODY, _INDEX = struct.Struct("<QI"), struct.Struct("<BqB"), struct.Struct("<QQQ")
+_HEAD, _BODY, _INDEX = "<QI", "<BqB", "<QQQ"
+_HEAD_BYTES, _BODY_BYTES, _INDEX_BYTES = map(struct.calcsize, (_HEAD, _BODY, _INDEX))
 _MASK = 0xA282EAD8  # fixed value: keeps the checksum of data that holds checksums apart from its own
 _READ_ROWS = 2048
 
@@ -41,7 +42,7 @@ def frame(doc_id: int | None, ids: bytes, width: int) -> bytes:
     """``ids``: little-endian unsigned 32-bit ids; kept in ``width`` bytes each."""
     if width == 2:
         ids = np.frombuffer(ids, dtype="<u4").astype("<u2").tobytes()
-    payload = _BODY.pack(doc_id is not None, doc_id or 0, width) + ids
+    payload = struct.pack(_BODY, doc_id is not None, doc_id or 0, width) + ids
     length = struct.pack("<Q", len(payload))
     return length + struct.pack("<I", masked_crc(length)) + payload + struct.pack("<I", masked_crc(payload))
 
@@ -49,10 +50,10 @@ def frame(doc_id: int | None, ids: bytes, width: int) -> bytes:
 def unframe(head: bytes, rest: bytes) -> tuple[int | None, bytes]:
     """(doc_id, little-endian unsigned 32-bit ids) of a record cut after its first 12 bytes."""
     payload, (crc,) = rest[:-4], struct.unpack("<I", rest[-4:])
-    if _HEAD.unpack(head)[1] != masked_crc(head[:8]) or crc != masked_crc(payload):
+    if struct.unpack(_HEAD, head)[1] != masked_crc(head[:8]) or crc != masked_crc(payload):
         raise ValueError("a record does not match its checksum")
-    known, doc_id, width = _BODY.unpack_from(payload)
-    ids = payload[_BODY.size :]
+    known, doc_id, width = struct.unpack_from(_BODY, payload)
+    ids = payload[_BODY_BYTES :]
     if width == 2:
         ids = np.frombuffer(ids, dtype="<u2").astype("<u4").tobytes()
     return (doc_id if known else None), ids
@@ -75,7 +76,7 @@ def _writer(folder: str, tokenizer: str, end_id: int, width: int):
                     ids = ids_of.encode(text.as_py()) + end
                     record = frame(doc_id.as_py(), ids, width)
                     data.write(record)
-                    index.write(_INDEX.pack(at, len(record), len(ids) // 4))
+                    index.write(struct.pack(_INDEX, at, len(record), len(ids) // 4))
                     at, records, tokens = at + len(record), records + 1, tokens + len(ids) // 4
         for kind in ("bin", "idx"):
             store.move(f"{own}.{kind}", f"{base}/part-{part:06d}.{kind}")
@@ -138,8 +139,8 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             store, base = _opened(file["folder"])
             start, out, held = file["first"], [], 0
             with store.open_input_stream(f"{base}/part-{file['part']:06d}.bin") as data:
-                while head := data.read(_HEAD.size):
-                    doc_id, ids = unframe(head, data.read(_HEAD.unpack(head)[0] + 4))
+                while head := data.read(_HEAD_BYTES):
+                    doc_id, ids = unframe(head, data.read(struct.unpack(_HEAD, head)[0] + 4))
                     out.append((doc_id, start, len(ids) // 4, ids))
                     start, held = start + len(ids) // 4, held + len(ids)
                     if len(out) == _READ_ROWS or held > 1 << 23:
@@ -166,7 +167,7 @@ def _shuffled_reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 opened[key] = store.open_input_file(f"{base}/part-{entry['part']:06d}.bin")
             opened[key].seek(entry["offset"])
             record = opened[key].read(entry["length"])
-            doc_id, ids = unframe(record[: _HEAD.size], record[_HEAD.size :])
+            doc_id, ids = unframe(record[: _HEAD_BYTES], record[_HEAD_BYTES :])
             out.append({"doc_id": doc_id, "ids": ids})
         for file in opened.values():
             file.close()
@@ -178,7 +179,7 @@ def _index_reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for file in batch.to_pylist():
             store, base = _opened(file["folder"])
             with store.open_input_stream(f"{base}/part-{file['part']:06d}.idx") as data:
-                while block := data.read(_INDEX.size << 14):
+                while block := data.read(_INDEX_BYTES << 14):
                     entries = np.frombuffer(block, dtype="<u8").reshape(-1, 3).astype(np.int64)
                     n = len(entries)
                     yield pa.RecordBatch.from_arrays(
