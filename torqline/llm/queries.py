@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from torqline.llm import exact, packing, records, sharding
+from torqline.llm import exact, language, packing, quality, records, sharding, toxicity
 from torqline.llm.common import table
+from torqline.llm.samples import fold
 
 
 def op1_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +25,16 @@ def op1_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _held_out(parts: int, rest: int) -> Column:
+    return F.coalesce(fold(F.col("doc_id"), parts) == rest, F.lit(False)).alias("held_out")
+
+
+def op2_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit_languages(docs, learn=fold(F.col("doc_id"), 3) != 1)
+    return language.languages(docs, model).select("doc_id", _held_out(3, 1), "lang_pred", "score")
+
+
 def op4_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return records.record_digests(spark, docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
@@ -34,6 +45,22 @@ def op5_certified_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
 
+def op6_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit_quality(docs, labels, learn=fold(F.col("doc_id"), 4) != 2)
+    return quality.quality_scores(docs, model, "doc_id").select(
+        "doc_id", _held_out(4, 2), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
+def op7_lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit_toxicity(docs, labels, learn=fold(F.col("doc_id"), 5) != 0)
+    return toxicity.toxicity_scores(docs, model).select(
+        "doc_id", _held_out(5, 0), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op9_digest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact.digest_groups(table(spark, sf_dir, "documents"))
     return groups.select(
@@ -43,8 +70,11 @@ def op9_digest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_hypergeometric_shards": op1_hypergeometric_shards,
+    "op2_crf_language": op2_crf_language,
     "op4_token_records": op4_token_records,
     "op5_certified_packing": op5_certified_packing,
+    "op6_pu_quality": op6_pu_quality,
+    "op7_lexicon_toxicity": op7_lexicon_toxicity,
     "op9_digest_runs": op9_digest_runs,
 }
 
