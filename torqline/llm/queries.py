@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from torqline.llm import exact, language, packing, quality, records, sharding, toxicity
+from torqline.llm import decontamination, exact, language, packing, quality, records, sharding, toxicity
 from torqline.llm.common import table
 from torqline.llm.samples import fold
 
@@ -61,6 +61,18 @@ def op7_lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op9_digest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact.digest_groups(table(spark, sf_dir, "documents"))
     return groups.select(
@@ -75,6 +87,7 @@ QUERIES = {
     "op5_certified_packing": op5_certified_packing,
     "op6_pu_quality": op6_pu_quality,
     "op7_lexicon_toxicity": op7_lexicon_toxicity,
+    "op8_fm_index": op8_fm_index,
     "op9_digest_runs": op9_digest_runs,
 }
 
