@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from torqline.llm import decontamination, exact, language, packing, quality, records, sharding, toxicity
+from torqline.llm import decontamination, exact, jaccard, language, packing, quality, records, sharding, toxicity
 from torqline.llm.common import table
 from torqline.llm.samples import fold
 
@@ -35,6 +35,10 @@ def op2_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(docs, model).select("doc_id", _held_out(3, 1), "lang_pred", "score")
 
 
+def op3_prefix_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicate_groups(table(spark, sf_dir, "documents"))
+
+
 def op4_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return records.record_digests(spark, docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
@@ -83,6 +87,7 @@ def op9_digest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_hypergeometric_shards": op1_hypergeometric_shards,
     "op2_crf_language": op2_crf_language,
+    "op3_prefix_jaccard": op3_prefix_jaccard,
     "op4_token_records": op4_token_records,
     "op5_certified_packing": op5_certified_packing,
     "op6_pu_quality": op6_pu_quality,
