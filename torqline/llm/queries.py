@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from torqline.llm import decontamination, exact, jaccard, language, packing, quality, records, sharding, toxicity
+from torqline.llm import decontamination, exact, jaccard, language, packing, quality, records, repeats, sharding, toxicity
 from torqline.llm.common import table
 from torqline.llm.samples import fold
 
@@ -84,6 +84,13 @@ def op9_digest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+    )
+
+
 QUERIES = {
     "op1_hypergeometric_shards": op1_hypergeometric_shards,
     "op2_crf_language": op2_crf_language,
@@ -94,6 +101,7 @@ QUERIES = {
     "op7_lexicon_toxicity": op7_lexicon_toxicity,
     "op8_fm_index": op8_fm_index,
     "op9_digest_runs": op9_digest_runs,
+    "op10_run_length_index": op10_run_length_index,
 }
 
 ORACLES = {
