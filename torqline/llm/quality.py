@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from torqline.llm import words
 from torqline.llm.samples import at_most, labels_of
@@ -157,7 +158,9 @@ def quality_scores(docs: DataFrame, model: dict | None, *keep: str) -> DataFrame
     called score is replaced.
     """
     keep = [c for c in (keep or docs.columns) if c.lower() != "score"]
-    text_at = len(keep)
+    given = "text" in keep and dict(docs.dtypes)["text"] == "string"
+    text_at = keep.index("text") if given else len(keep)
+    width = len(keep)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,8 +170,10 @@ def quality_scores(docs: DataFrame, model: dict | None, *keep: str) -> DataFrame
                 for i, j in words.slices(offsets)
             ]
             scores = pa.array(np.concatenate([np.zeros(0), *found]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:text_at], scores], names=[*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], scores], names=[*keep, "score"])
 
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("string").alias("_tq_text"))
-    fields = rows.select(*[F.col(f"`{c}`") for c in keep]).schema.add("score", "double")
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep])
+    fields = StructType([*rows.schema.fields, StructField("score", DoubleType())])
+    if not given:
+        rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("string").alias("_tq_text"))
     return rows.mapInArrow(score, fields)
