@@ -65,10 +65,7 @@ FAULT_TORQUE_ADD = 18.0
 FAULT_RPM_SHIFT = -350.0
 FAULT_RPM_FLOOR = 500.0
 FAULT_GAP_MEAN = 8.2
-FAULT_GAP_STD = 0.3
 HDF_FRACTION = 0.339
-TOOL_WEAR_MAX = 216.0
-TOOL_WEAR_STEP = 2.0
 
 # --- fixed values: training and promotion ------------------------------------------------
 TRAINING_WINDOW = 50_000
@@ -97,8 +94,8 @@ WASSERSTEIN_NORM_FLOOR = 0.001
 ALERT_HIGH = 0.85
 ALERT_LOW = 0.50
 HISTOGRAM_BINS = 20
-# Rows one range of the prefix-sum helper should hold, and the most ranges it will make.
+# Rows one range of the prefix-sum helper should hold.
 ROWS_PER_RANGE = 100_000
-MAX_RANGES = 16_384
-# An id chunk holds at most this many rows because ids are unique.
-ID_CHUNK_ROWS = 1 << 20
+# Quantiles taken per level when ranges are cut, and the share of keys (one in ..) they are taken from.
+RANGE_GRID = 1024
+RANGE_SAMPLE = 16

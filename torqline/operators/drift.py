@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from torqline import config as C
 from torqline.functions.stats import chi2_p, kolmogorov_p, normal_two_sided_p
-from torqline.operators.prefix import range_cuts, running_sums, with_range
+from torqline.operators.prefix import finite, range_cuts, running_sums, with_range
 
 KS, CHI2, Z_TEST = "K-S p_value", "chi-square p_value", "Z-test p_value"
 WASSERSTEIN, JENSEN_SHANNON = "Wasserstein distance (normed)", "Jensen-Shannon distance"
@@ -32,7 +32,10 @@ def tagged_union(reference: DataFrame, current: DataFrame, columns: list[str]) -
 def numeric_counts(
     pair: DataFrame, columns: list[str], cuts: dict[str, list[float]], by: list[str] | None = None
 ) -> DataFrame:
-    """feature, range, value, n_ref, n_cur: one row per distinct value of a feature."""
+    """feature, range, value, n_ref, n_cur: one row per distinct finite value of a feature.
+
+    NaN and the infinities count as missing.
+    """
     by = by or []
     ranged = pair
     for name in columns:
@@ -42,13 +45,13 @@ def numeric_counts(
         F.struct(
             F.lit(number).alias("code"),
             F.col(f"__range_{name}").alias("range"),
-            F.col(name).cast("double").alias("value"),
+            finite(F.col(name)).alias("value"),
         )
         for number, name in enumerate(columns)
     ]
     counts = (
         ranged.select("is_ref", "is_cur", *by, F.inline(F.array(*cells)))
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
+        .where(F.col("value").isNotNull())
         .groupBy(*by, "code", "range", "value")
         .agg(F.sum("is_ref").alias("n_ref"), F.sum("is_cur").alias("n_cur"))
     )
@@ -104,7 +107,7 @@ def _share_terms(p: Column, q: Column) -> Column:
 
 def _chi2_terms(n_ref: Column, n_cur: Column, total_ref: Column, total_cur: Column) -> Column:
     """Goodness-of-fit contribution; a category the reference never showed is infinitely unlikely."""
-    expected = n_ref.cast("double") / total_ref * total_cur
+    expected = n_ref.cast("double") / F.nullif(total_ref, F.lit(0)) * total_cur
     return F.when(n_ref == 0, F.when(n_cur == 0, F.lit(0.0)).otherwise(F.lit(float("inf")))).otherwise(
         (n_cur - expected) * (n_cur - expected) / F.nullif(expected, F.lit(0.0))
     )
@@ -112,7 +115,7 @@ def _chi2_terms(n_ref: Column, n_cur: Column, total_ref: Column, total_cur: Colu
 
 def _count_statistics(total_ref: Column, total_cur: Column) -> dict[str, Column]:
     """Statistics that only look at counts per distinct value or category."""
-    p, q = F.col("n_ref") / total_ref, F.col("n_cur") / total_cur
+    p, q = F.col("n_ref") / F.nullif(total_ref, F.lit(0)), F.col("n_cur") / F.nullif(total_cur, F.lit(0))
     return {
         "js": F.sqrt(F.greatest(F.sum(_share_terms(p, q)), F.lit(0.0))),
         "chi2": F.sum(_chi2_terms(F.col("n_ref"), F.col("n_cur"), total_ref, total_cur)),
@@ -129,10 +132,14 @@ def numeric_statistics(ecdf: DataFrame, by: list[str] | None = None) -> DataFram
     """One row per numeric feature with every statistic a test may need."""
     by = by or []
     total_ref, total_cur = F.col("total_cum_ref"), F.col("total_cum_cur")
-    gap = F.abs(F.col("cum_ref") / total_ref - F.col("cum_cur") / total_cur)
+    # A side without a usable value has no distribution: what compares with it is null.
+    no_ref, no_cur = F.nullif(total_ref, F.lit(0)), F.nullif(total_cur, F.lit(0))
+    gap = F.abs(F.col("cum_ref") / no_ref - F.col("cum_cur") / no_cur)
     width = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
-    mean = F.col("weighted_ref") / total_ref
-    spread = F.sum(F.col("n_ref") * (F.col("value") - mean) * (F.col("value") - mean)) / F.sum("n_ref")
+    mean = F.col("weighted_ref") / no_ref
+    spread = F.sum(F.col("n_ref") * (F.col("value") - mean) * (F.col("value") - mean)) / F.nullif(
+        F.sum("n_ref"), F.lit(0)
+    )
     stats = (
         ecdf.withColumn("order_key", F.col("value"))
         .groupBy(*by, "feature")
@@ -163,8 +170,9 @@ def category_statistics(counts: DataFrame, by: list[str] | None = None) -> DataF
 
 def _pooled_z() -> Column:
     n_ref, n_cur = F.col("n_ref").cast("double"), F.col("n_cur").cast("double")
-    pooled = (F.col("p_ref") * n_ref + F.col("p_cur") * n_cur) / (n_ref + n_cur)
-    error = F.sqrt(pooled * (F.lit(1.0) - pooled) * (F.lit(1.0) / n_ref + F.lit(1.0) / n_cur))
+    zero = F.lit(0.0)
+    pooled = (F.col("p_ref") * n_ref + F.col("p_cur") * n_cur) / F.nullif(n_ref + n_cur, zero)
+    error = F.sqrt(pooled * (1.0 - pooled) * (1.0 / F.nullif(n_ref, zero) + 1.0 / F.nullif(n_cur, zero)))
     return F.coalesce((F.col("p_ref") - F.col("p_cur")) / F.nullif(error, F.lit(0.0)), F.lit(0.0))
 
 
@@ -172,7 +180,8 @@ def choose_tests(statistics: DataFrame, by: list[str] | None = None) -> DataFram
     """feature, method, value, threshold, drifted.
 
     Small references get p-value tests, larger ones distances. Numeric features with few
-    distinct values are compared like categories.
+    distinct values are compared like categories. Where a side has no usable value, ``value`` is null and
+    nothing drifted: the small-sample flag of the verdict tells.
     """
     small = F.col("n_ref") <= C.SMALL_REFERENCE
     as_numbers = F.col("numeric") & (F.col("n_values") > C.FEW_VALUES)
@@ -184,7 +193,8 @@ def choose_tests(statistics: DataFrame, by: list[str] | None = None) -> DataFram
         .otherwise(F.lit(JENSEN_SHANNON))
     )
     value = (
-        F.when(F.col("method") == KS, kolmogorov_p(F.col("ks"), F.col("n_ref"), F.col("n_cur")))
+        F.when((F.col("n_ref") == 0) | (F.col("n_cur") == 0), F.lit(None).cast("double"))
+        .when(F.col("method") == KS, kolmogorov_p(F.col("ks"), F.col("n_ref"), F.col("n_cur")))
         .when(F.col("method") == WASSERSTEIN, F.col("wasserstein"))
         .when(F.col("method") == Z_TEST, normal_two_sided_p(_pooled_z()))
         .when(F.col("method") == CHI2, chi2_p(F.col("chi2"), F.col("n_values") - 1))
@@ -197,7 +207,7 @@ def choose_tests(statistics: DataFrame, by: list[str] | None = None) -> DataFram
         statistics.withColumn("method", method)
         .withColumn("value", value)
         .withColumn("threshold", threshold)
-        .withColumn("drifted", drifted)
+        .withColumn("drifted", F.coalesce(drifted, F.lit(False)))
         .select(*(by or []), "feature", "method", "value", "threshold", "drifted", "n_ref", "n_cur")
     )
 
@@ -239,26 +249,45 @@ def drift_by_window(
 ) -> DataFrame:
     """Per-column drift of every window of ``current`` against one frozen reference."""
     numeric, categorical = list(numeric), list(categorical)
-    cuts = range_cuts(current, numeric, ranges)
+    cuts, whole = range_cuts(current, numeric, ranges), {name: [] for name in numeric}
     return drift_from_window_counts(
-        numeric_counts(one_side(reference, numeric, ref=True), numeric, cuts),
-        numeric_counts(one_side(current, numeric, False, window), numeric, cuts, [window]),
+        numeric_counts(one_side(reference, numeric, ref=True), numeric, whole).drop("range"),
+        numeric_counts(one_side(current, numeric, False, window), numeric, whole, [window]).drop("range"),
         category_counts(one_side(reference, categorical, ref=True), categorical),
         category_counts(one_side(current, categorical, False, window), categorical, [window]),
         window,
+        cuts,
     )
 
 
+def value_range(counts: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
+    """Adds ``range``, the place of ``value`` among the cuts of its feature."""
+    ranged, names = counts, []
+    for number, (name, own) in enumerate(cuts.items()):
+        value, place = f"__value_{number}", f"__place_{number}"
+        ranged = ranged.withColumn(value, F.when(F.col("feature") == name, F.col("value")))
+        ranged = with_range(ranged, value, own, place).drop(value)
+        names.append(F.when(F.col("feature") == name, F.col(place)))
+    return ranged.select("*", F.coalesce(*names, F.lit(0)).alias("range")).drop(*[f"__place_{n}" for n in range(len(cuts))])
+
+
 def one_side(df: DataFrame, columns: list[str], ref: bool, *extra: str) -> DataFrame:
     flag = F.lit(int(ref)).cast("long")
     return df.select(*columns, *extra, flag.alias("is_ref"), (1 - flag).alias("is_cur"))
 
 
 def drift_from_window_counts(
-    ref_numbers: DataFrame, cur_numbers: DataFrame, ref_categories: DataFrame, cur_categories: DataFrame, window: str
+    ref_numbers: DataFrame,
+    cur_numbers: DataFrame,
+    ref_categories: DataFrame,
+    cur_categories: DataFrame,
+    window: str,
+    cuts: dict[str, list[float]],
 ) -> DataFrame:
     """Drift per window from counts, as kept by a stream or computed in a batch.
 
+    Counts are kept by value alone; ``cuts`` only spread the work and may differ from call to call.
+
     The reference counts are repeated once per window. The baseline is frozen and small by
     contract, so this grows with the number of windows, not with the readings.
     """
@@ -272,7 +301,8 @@ def drift_from_window_counts(
         )
 
     by = [window]
-    numbers = numeric_statistics(ecdf_from_counts(aligned(ref_numbers, cur_numbers, ["range", "value"]), by), by)
+    values = value_range(aligned(ref_numbers, cur_numbers, ["value"]), cuts)
+    numbers = numeric_statistics(ecdf_from_counts(values, by), by)
     categories = category_statistics(aligned(ref_categories, cur_categories, ["category"]), by)
     return choose_tests(numbers.unionByName(categories), by)
 
@@ -298,10 +328,8 @@ def histograms(
 ) -> DataFrame:
     """Side-by-side equal-width histograms over the joint range of both samples."""
     pair = tagged_union(reference, current, columns)
-    cells = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns]
-    long = pair.select("is_ref", "is_cur", F.inline(F.array(*cells))).where(
-        F.col("value").isNotNull() & ~F.isnan("value")
-    )
+    cells = [F.struct(F.lit(c).alias("feature"), finite(F.col(c)).alias("value")) for c in columns]
+    long = pair.select("is_ref", "is_cur", F.inline(F.array(*cells))).where(F.col("value").isNotNull())
     # One row per feature, whatever the input size: safe to broadcast.
     edges = long.groupBy("feature").agg(F.min("value").alias("low"), F.max("value").alias("high"))
     position = F.floor((F.col("value") - F.col("low")) / F.nullif(F.col("high") - F.col("low"), F.lit(0.0)) * bins)
@@ -351,7 +379,7 @@ def numeric_summary(df: DataFrame, columns: list[str] = C.NUMERIC_FEATURES, rang
         quartile(0.75).alias("p75"),
     )
     missing = df.agg(
-        *[F.sum((F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).cast("long")).alias(c) for c in columns]
+        *[F.sum(finite(F.col(c)).isNull().cast("long")).alias(c) for c in columns]
     ).unpivot([], columns, "feature", "nulls")
     return stats.join(missing, "feature", "right")
 

@@ -18,7 +18,15 @@ from pyspark.sql import functions as F
 
 from torqline import config as C
 
-_SAMPLES_PER_RANGE = 50
+def finite(value: Column) -> Column:
+    """``value`` as a double; null for null, NaN and the infinities."""
+    number = value.cast("double")
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
+
+
+def _quantiles(column: Column, steps: int) -> Column:
+    shares = [step / steps for step in range(1, steps)]
+    return F.percentile_approx(column, shares, 10 * max(100, steps))
 
 
 def range_cuts(
@@ -26,20 +34,42 @@ def range_cuts(
 ) -> dict[str, list[float]]:
     """Ascending cut points per column that split the rows into about equal ranges.
 
+    One job counts the rows and takes quantiles of the finite values over a sample of hashed rows. There are
+    at least as many ranges as shuffle partitions, whatever the size, and enough for ``rows_per_range``; beyond
+    ``RANGE_GRID`` each of the first ranges is cut again. With ``ranges`` that many are made, from all rows.
     Cuts come from row quantiles: a value that holds many rows takes up whole ranges that
     collapse, and every other range keeps at most its share of rows.
     """
-    rows = df.count()
-    if ranges is None:
-        ranges = min(C.MAX_RANGES, ceil(rows / rows_per_range))
-    if ranges <= 1 or rows == 0:
+    steps = min(ranges or C.RANGE_GRID, C.RANGE_GRID)
+    every = 1 if ranges else C.RANGE_SAMPLE
+    drawn = F.pmod(F.xxhash64(*columns), F.lit(every)) == 0
+    values = {name: F.when(drawn, finite(F.col(name))) for name in columns}
+    if steps <= 1:
         return {name: [] for name in columns}
-    fraction = min(1.0, ranges * _SAMPLES_PER_RANGE / rows)
-    shares = [step / ranges for step in range(1, ranges)]
-    sample = df.select(*[F.col(name).cast("double") for name in columns]).sample(fraction, seed=C.SEED)
-    accuracy = max(1000, 10 * ranges)
-    quantiles = sample.agg(*[F.percentile_approx(name, shares, accuracy).alias(name) for name in columns]).first()
-    return {name: sorted(set(quantiles[name] or [])) for name in columns}
+    found = df.agg(
+        F.count(F.lit(1)).alias("__rows"), *[_quantiles(value, steps).alias(name) for name, value in values.items()]
+    ).first()
+    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    want = ranges or max(spread, ceil(found["__rows"] / rows_per_range))
+    cuts = {}
+    for name in columns:
+        grid = found[name] or []
+        if grid and want < steps:
+            grid = [grid[ceil(step * steps / want) - 1] for step in range(1, want)]
+        cuts[name] = sorted(set(grid))
+        if grid and want > steps:
+            cuts[name] = _cut_again(df.select(values[name].alias(name)), name, cuts[name], ceil(want / steps))
+    return cuts
+
+
+def _cut_again(df: DataFrame, name: str, cuts: list[float], parts: int) -> list[float]:
+    """The cuts and those that split each range between them into ``parts``."""
+    inner = (
+        with_range(df.where(F.col(name).isNotNull()), name, cuts, "__range")
+        .groupBy("__range")
+        .agg(_quantiles(F.col(name), parts).alias("cuts"))
+    )
+    return sorted({*cuts, *(cut for row in inner.collect() for cut in row["cuts"])})
 
 
 def with_range(df: DataFrame, column: str, cuts: list[float], output: str) -> DataFrame:

@@ -24,7 +24,7 @@ from torqline.training.calibration import argmax_index, average_probabilities, c
 from torqline.training.experiments import EXPERIMENTS, Experiment
 from torqline.training.model import train_model
 from torqline.training.tuning import tune_model
-from torqline.training.vectors import apply_scaling, fit_scaling, one_hot_columns
+from torqline.training.vectors import one_hot_columns, scaled_columns
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -126,8 +126,9 @@ def one_hot_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def standard_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = rd.readings(spark, sf_dir).select("id", *C.NUMERIC_FEATURES)
-    scaled = apply_scaling(source, fit_scaling(source, C.NUMERIC_FEATURES))
+    """The scaling stage of the learners over the numeric features."""
+    source = features.with_type_column(rd.readings(spark, sf_dir)).select("id", *C.FEATURES)
+    scaled = scaled_columns(source, "id")
     return scaled.select("id", *[F.round(name, 6).alias(name) for name in C.NUMERIC_FEATURES])
 
 
@@ -218,8 +219,7 @@ def _existing_and_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
 
 @query
 def next_udi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    older, _ = _halves(spark, sf_dir)
-    return etl.next_udi(etl.export_layout(older))
+    return etl.next_udi(etl.export_layout(rd.readings(spark, sf_dir)))
 
 
 @query
@@ -282,18 +282,16 @@ def newest_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def baseline_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The frozen baseline as a CSV round trip, in the feature space of the models."""
-    older, _ = _halves(spark, sf_dir)
+    """A frozen baseline as a CSV round trip, in the feature space of the models."""
     path = scratch_path(spark, "baseline-csv")
-    etl.export_layout(older).write.option("header", True).csv(path)
+    etl.export_layout(rd.readings(spark, sf_dir)).write.option("header", True).csv(path)
     return tables.reference_features(tables.load_baseline_csv(spark, path))
 
 
 @query
 def baseline_sensor_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    older, _ = _halves(spark, sf_dir)
     path = scratch_path(spark, "baseline-csv")
-    etl.export_layout(older).write.option("header", True).csv(path)
+    etl.export_layout(rd.readings(spark, sf_dir)).write.option("header", True).csv(path)
     return tables.sensor_rows(tables.load_baseline_csv(spark, path))
 
 
@@ -788,7 +786,7 @@ def _stream_gate(df: DataFrame) -> DataFrame:
 
 @query
 def stream_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stream of drift checks over the newest readings: audit log of what each one did."""
+    """A stream of drift checks over all new readings: audit log of what each one did."""
     older, newer = _halves(spark, sf_dir)
     path = scratch_path(spark, "stream-drift")
     sinks.insert_readings(newer, f"{path}/readings")

@@ -36,18 +36,19 @@ def export_readings(
     """Readings of one table to training rows of another.
 
     With ``append`` the rows follow those that exist; otherwise, or when there are none, they
-    start a table at ``training``. With ``purged_readings`` the readings that stay are written there, after the
+    start a table at ``training``. The table has the layout of the drift watch: a part per batch and the id of the reading in each row.
+    Batches of this job are numbered below zero by their first key, so the same export run again
+    replaces itself. With ``purged_readings`` the readings that stay are written there, after the
     export is safely stored; exactly the exported ids are left out.
     """
     source = rd.load_readings(spark, readings, since)
     existing = tables.if_present(lambda: tables.load_training_table(spark, training)) if append else None
     if existing is not None:
         start = etl.next_udi(existing).first()["starting_udi"]
-        batch = etl.export_layout(source, start)
-        sinks.append_training(batch, training)
     else:
-        batch = etl.export_layout(source)
-        sinks.write_training(batch, training)
+        start = 1
+    batch = etl.export_layout(source, start, keep_id=True)
+    sinks.write_batch(batch, training, -start, fresh=existing is None)
     result = ExportResult(etl.export_summary(batch), etl.export_preview(batch))
     if purged_readings:
         everything = rd.load_readings(spark, readings)

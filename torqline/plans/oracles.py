@@ -210,6 +210,7 @@ newer AS (SELECT * FROM readings WHERE id >= (SELECT cut FROM middle))
 """
 BATCH = f"batch AS ({_layout('newer', '(SELECT count(*) FROM older)')})"
 EXISTING = f"existing AS ({_layout('older')})"
+WHOLE = f"existing AS ({_layout('readings')})"
 
 _sql(
     "rename_contract",
@@ -220,8 +221,7 @@ _sql(
 _sql(
     "next_udi",
     "SELECT count(*) AS existing_rows, max(\"UDI\") AS last_udi, max(\"UDI\") + 1 AS starting_udi FROM existing",
-    SPLIT,
-    EXISTING,
+    WHOLE,
 )
 _sql(
     "sequence_udi",
@@ -270,15 +270,13 @@ _sql(
         "Process temperature [K]" AS process_temperature_kelvin,
         CAST("Rotational speed [rpm]" AS DOUBLE) AS rotational_speed_rpm, "Torque [Nm]" AS torque_nm,
         CAST("Tool wear [min]" AS DOUBLE) AS tool_wear_minutes FROM existing)""",
-    SPLIT,
-    EXISTING,
+    WHOLE,
 )
 _sql(
     "baseline_sensor_rows",
     'SELECT "Type", "Air temperature [K]", "Process temperature [K]", "Rotational speed [rpm]", "Torque [Nm]" '
     "FROM existing",
-    SPLIT,
-    EXISTING,
+    WHOLE,
 )
 _sql(
     "readings_scan",
@@ -782,12 +780,11 @@ _sql(
     FROM dirty WHERE {VALID}""",
     DIRTY,
 )
-# Same test as drift_by_column on the newest 10,000 readings of the newer half, alert share 0.2.
+# Same test as drift_by_column on all readings of the newer half, alert share 0.2.
 _NEWEST = f"""
 newest AS (
   SELECT *, machine_type AS type, false AS is_ref
-  FROM (SELECT * FROM readings WHERE id >= (SELECT cut FROM middle) ORDER BY "timestamp" DESC, id DESC
-    LIMIT {C.CURRENT_ROWS})
+  FROM readings WHERE id >= (SELECT cut FROM middle)
   UNION ALL SELECT *, machine_type AS type, true AS is_ref FROM readings WHERE id < (SELECT cut FROM middle)
 )"""
 _sql(

@@ -85,5 +85,6 @@ AUDIT_LOG = _struct(
     ("timestamp", _STR, False),
     ("drift_detected", T.BooleanType(), False),
     ("retrain_triggered", T.BooleanType(), False),
+    ("error", _STR, True),
 )
 RETRAIN_REQUESTS = _struct(("timestamp", _STR, False), ("batch_id", _LONG, False))

@@ -29,25 +29,31 @@ def write_training(df: DataFrame, path: str) -> None:
     df.select(*schemas.TRAINING.fieldNames()).write.mode("overwrite").parquet(path)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, column: str = "export_batch") -> None:
-    """Write one numbered batch so that writing it again replaces it instead of adding to it."""
+def write_batch(
+    df: DataFrame, path: str, batch_id: int, column: str = "export_batch", fresh: bool = False
+) -> None:
+    """Write one numbered batch so that writing it again replaces it; ``fresh`` drops all other batches."""
     (
         df.withColumn(column, F.lit(batch_id).cast("long"))
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if fresh else "dynamic")
         .partitionBy(column)
         .parquet(path)
     )
 
 
-def append_audit(spark: SparkSession, path: str, drift_detected: bool, retrain_triggered: bool) -> None:
-    """One JSON line per drift check; earlier lines are never touched."""
-    line = [(utc_now(), drift_detected, retrain_triggered)]
-    spark.createDataFrame(line, schemas.AUDIT_LOG).coalesce(1).write.mode("append").json(path)
+def append_audit(
+    spark: SparkSession, path: str, batch_id: int, drift_detected: bool, retrain_triggered: bool, error: str | None = None
+) -> None:
+    """One JSON line per drift check, under its number: a replayed check replaces its own line."""
+    line = [(utc_now(), drift_detected, retrain_triggered, error)]
+    spark.createDataFrame(line, schemas.AUDIT_LOG).coalesce(1).write.mode("overwrite").json(f"{path}/check={batch_id}")
 
 
 def request_retrain(spark: SparkSession, path: str, batch_id: int) -> None:
-    spark.createDataFrame([(utc_now(), batch_id)], schemas.RETRAIN_REQUESTS).coalesce(1).write.mode("append").json(path)
+    """One line per request, under the number of its check."""
+    line = spark.createDataFrame([(utc_now(), batch_id)], schemas.RETRAIN_REQUESTS)
+    line.coalesce(1).write.mode("overwrite").json(f"{path}/check={batch_id}")
 
 
 def write_drift_report(parts: dict[str, DataFrame], path: str) -> None:

@@ -29,9 +29,12 @@ def load_training_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.TRAINING).parquet(path).select(*schemas.TRAINING.fieldNames())
 
 
-def load_exported_ids(spark: SparkSession, path: str) -> DataFrame:
-    """Ids of the readings that reached a training table written batch by batch."""
-    return spark.read.schema("reading_id long").parquet(path).select(F.col("reading_id").alias("id"))
+def load_exported_ids(spark: SparkSession, path: str, but_batch: int | None = None) -> DataFrame:
+    """Ids of the readings that reached a training table, in any batch or in any but one."""
+    rows = spark.read.schema("reading_id long, export_batch long").parquet(path)
+    if but_batch is not None:
+        rows = rows.where(F.col("export_batch") != but_batch)
+    return rows.select(F.col("reading_id").alias("id"))
 
 
 def load_baseline_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -20,10 +20,11 @@ from torqline.sources import sinks, tables
 class DriftWatch:
     """One drift check per micro-batch of new readings.
 
-    ``baseline`` holds the nine features of the frozen reference. Exported readings count as
+    ``baseline`` holds the nine features of the frozen reference. A check judges all readings that no earlier
+    check exported, or the newest ``current_rows`` of them if asked to. Exported readings count as
     purged: the training rows carry the id they came from, so a single write both hands a
-    reading over and takes it out of later checks, and a check that dies half-way neither
-    loses nor repeats one.
+    reading over and takes it out of later checks. A replayed check leaves out what other checks exported
+    only, so it writes its own rows again, with those that arrived since, and neither loses nor repeats one.
     """
 
     spark: SparkSession
@@ -32,37 +33,39 @@ class DriftWatch:
     training: str
     audit: str
     requests: str
-    current_rows: int = C.CURRENT_ROWS
+    current_rows: int | None = None
     threshold: float = C.DRIFT_SHARE_THRESHOLD
     export_always: bool = False
     report: str | None = None
 
-    def live_readings(self) -> DataFrame:
+    def live_readings(self, batch_id: int | None = None) -> DataFrame:
+        """Readings that no check but ``batch_id`` has exported."""
         stored = rd.load_readings(self.spark, self.readings)
-        exported = tables.if_present(lambda: tables.load_exported_ids(self.spark, self.training))
+        exported = tables.if_present(lambda: tables.load_exported_ids(self.spark, self.training, batch_id))
         return stored if exported is None else etl.surviving_readings(stored, exported)
 
     def check(self, batch_id: int) -> bool:
         """Run one check; returns whether drift was found.
 
-        A failing drift test raises. A failing export is logged and left to the next check.
+        A failing drift test raises. A failing export is kept in the audit row and left to the next check.
         """
-        live = self.live_readings()
-        current = drop_incomplete(rd.drift_projection(etl.newest_readings(live, self.current_rows)))
+        live = self.live_readings(batch_id)
+        judged = etl.newest_readings(live, self.current_rows) if self.current_rows else live
+        current = drop_incomplete(rd.drift_projection(judged))
         verdict = drift.drift_verdict(drift.drift_by_column(self.baseline, current), self.threshold).first()
         if self.report:
             sinks.write_drift_report(drift.drift_report(self.baseline, current), f"{self.report}/{batch_id}")
         drifted = bool(verdict["drift_detected"])
-        requested = False
+        requested, failure = False, None
         if drifted or self.export_always:
             try:
                 self.export(live, batch_id)
                 if drifted:
                     sinks.request_retrain(self.spark, self.requests, batch_id)
                     requested = True
-            except Exception:  # noqa: BLE001 - rows stay live, the next check exports them
-                requested = False
-        sinks.append_audit(self.spark, self.audit, drifted, requested)
+            except Exception as error:  # noqa: BLE001 - rows stay live, the next check exports them
+                failure = f"{type(error).__name__}: {error}"[:2000]
+        sinks.append_audit(self.spark, self.audit, batch_id, drifted, requested, failure)
         return drifted
 
     def export(self, live: DataFrame, batch_id: int) -> None:
@@ -98,7 +101,7 @@ def start_window_counts(
     The counts are what ``drift_from_window_counts`` compares with a reference, so drift per
     window needs no second look at the readings. Late rows within ``delay`` still count.
     """
-    cuts = range_cuts(baseline, C.NUMERIC_FEATURES)
+    whole = {name: [] for name in C.NUMERIC_FEATURES}
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     instant = stream.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     timed = instant.withWatermark("timestamp", delay).withColumnRenamed("machine_type", "type")
@@ -106,7 +109,7 @@ def start_window_counts(
         *C.FEATURES, F.window("timestamp", window).alias("window"), zero.alias("is_ref"), one.alias("is_cur")
     )
     counts = {
-        "numbers": drift.numeric_counts(tagged, C.NUMERIC_FEATURES, cuts, ["window"]),
+        "numbers": drift.numeric_counts(tagged, C.NUMERIC_FEATURES, whole, ["window"]).drop("range"),
         "categories": drift.category_counts(tagged, ["type"], ["window"]),
     }
     return [
@@ -122,13 +125,17 @@ def start_window_counts(
 
 
 def drift_of_closed_windows(spark: SparkSession, baseline: DataFrame, output: str) -> DataFrame:
-    """Drift of every window counted so far against the baseline."""
-    cuts = range_cuts(baseline, C.NUMERIC_FEATURES)
+    """Drift of every window counted so far against the baseline.
+
+    A window counts once the watermark has closed it; the last one stays open until later readings arrive.
+    """
+    cuts, whole = range_cuts(baseline, C.NUMERIC_FEATURES), {name: [] for name in C.NUMERIC_FEATURES}
     pair = drift.one_side(baseline, [*C.FEATURES], True)
     return drift.drift_from_window_counts(
-        drift.numeric_counts(pair, C.NUMERIC_FEATURES, cuts),
+        drift.numeric_counts(pair, C.NUMERIC_FEATURES, whole).drop("range"),
         spark.read.parquet(f"{output}/numbers"),
         drift.category_counts(pair, ["type"]),
         spark.read.parquet(f"{output}/categories"),
         "window",
+        cuts,
     )

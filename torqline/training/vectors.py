@@ -6,7 +6,6 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from torqline import config as C
 
@@ -39,14 +38,14 @@ def one_hot_columns(fit_on: DataFrame, df: DataFrame, *keys: str) -> DataFrame:
     return model.transform(df).select(*keys, *[block[i].alias(f"type_{level}") for i, level in enumerate(levels)])
 
 
-def fit_scaling(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:
-    """Mean and population standard deviation per column, in one pass."""
-    row = df.agg(
-        *[F.avg(c).alias(f"{c}_mean") for c in columns], *[F.stddev_pop(c).alias(f"{c}_std") for c in columns]
-    ).first()
-    return {c: (row[f"{c}_mean"], row[f"{c}_std"]) for c in columns}
+def scaled_columns(df: DataFrame, *keys: str) -> DataFrame:
+    """The numeric features as the scaled learners see them, as plain columns.
 
-
-def apply_scaling(df: DataFrame, scaling: dict[str, tuple[float, float]]) -> DataFrame:
-    """Centre and scale; a constant column is only centred."""
-    return df.withColumns({c: (F.col(c) - mean) / (std or 1.0) for c, (mean, std) in scaling.items()})
+    The stage divides by the deviation of a sample; the definition by that of all rows it was fitted on, which
+    is a factor sqrt(n / (n - 1)) that no learner notices. It is applied here so that values match.
+    """
+    model = Pipeline(stages=vectoriser(scaled=True)).fit(df)
+    n = df.count()
+    factor = (n / (n - 1)) ** 0.5 if n > 1 else 1.0
+    block = vector_to_array("features")
+    return model.transform(df).select(*keys, *[(block[i] * factor).alias(c) for i, c in enumerate(C.NUMERIC_FEATURES)])
