@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from torqline import config as C
 from torqline.functions import stats
 from torqline.operators import drift
+from torqline.sources import readings as rd
 
 SLOW = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -153,3 +154,48 @@ def test_ranges_do_not_change_results(spark, readings):
     plain = drift.drift_by_column(older, newer, ranges=1).withColumn("value", F.round("value", 9))
     ranged = drift.drift_by_column(older, newer, ranges=9).withColumn("value", F.round("value", 9))
     assert sorted(plain.collect()) == sorted(ranged.collect())
+
+
+def test_chi_squared_tail_at_any_degrees(spark):
+    """Against the finite sum (even degrees) and the recurrence in the degrees (odd ones), in logarithms."""
+
+    def tail(x, d):
+        h, total = x / 2, math.erfc(math.sqrt(x / 2)) if d % 2 else 0.0
+        for j in range(d // 2):
+            k = j + (0.5 if d % 2 else 0.0)
+            total += math.exp(-h + k * math.log(h) - math.lgamma(k + 1))
+        return total
+
+    cases = [(x, d) for d in (1, 2, 3, 79, 80, 81, 82, 200, 333, 2000) for x in (0.5 * d, 1.0 * d, 1.2 * d + 3, 1.5 * d + 9)]
+    df = spark.createDataFrame(cases, "x double, d int")
+    for r in df.select("x", "d", stats.chi2_p(F.col("x"), F.col("d")).alias("p")).collect():
+        assert r["p"] == pytest.approx(min(1.0, tail(r["x"], r["d"])), rel=1e-7, abs=1e-12), r
+
+
+def test_missing_and_infinite_values_and_an_empty_side(spark):
+    inf, nan = float("inf"), float("nan")
+    values = [float(i % 50) for i in range(300)] + [inf, -inf, nan, None] * 20
+    ref = spark.createDataFrame([(v, 1.0, "a") for v in values], "x double, y double, type string")
+    cur = spark.createDataFrame([(v, None, "a") for v in values[::-1]], "x double, y double, type string")
+    for ranges in (None, 1, 8):
+        got = {r["feature"]: r for r in drift.drift_by_column(ref, cur, ["x", "y"], ["type"], ranges).collect()}
+        assert (got["x"]["n_ref"], got["x"]["n_cur"]) == (300, 300) and not got["x"]["drifted"]
+        assert got["y"]["value"] is None and got["y"]["drifted"] is False and got["y"]["n_cur"] == 0
+    verdict = drift.drift_verdict(drift.drift_by_column(ref, cur.limit(0), ["x", "y"], ["type"])).first()
+    assert verdict["low_sample"] and not verdict["drift_detected"] and verdict["total_columns"] == 3
+
+
+def test_cuts_of_another_partitioning_change_nothing(spark, readings):
+    source = rd.drift_projection(readings).withColumn("window", F.lit(1))
+    counts = [
+        drift.numeric_counts(drift.one_side(source, C.NUMERIC_FEATURES, ref, "window"), C.NUMERIC_FEATURES,
+                             {c: [] for c in C.NUMERIC_FEATURES}, by).drop("range")
+        for ref, by in ((True, []), (False, ["window"]))
+    ]
+    kinds = [drift.category_counts(drift.one_side(source, ["type"], ref, "window"), ["type"], by) for ref, by in ((True, []), (False, ["window"]))]
+    results = []
+    for parts, ranges in ((1, 2), (3, 7), (7, 16)):
+        cuts = drift.range_cuts(source.repartition(parts), C.NUMERIC_FEATURES, ranges)
+        rows = drift.drift_from_window_counts(counts[0], counts[1], kinds[0], kinds[1], "window", cuts).collect()
+        results.append({r["feature"]: round(r["value"], 9) for r in rows})
+    assert results[0] == results[1] == results[2]

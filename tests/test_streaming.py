@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from torqline.functions import quality
 from torqline.operators import etl
+from torqline.plans import jobs
 from torqline.session import scratch_path
 from torqline.sources import readings as rd
 from torqline.sources import schemas, sinks, tables
@@ -98,6 +99,48 @@ def test_replayed_check_does_not_repeat_rows(watch, readings):
     assert tables.load_training_table(watch.spark, watch.training).count() == readings.count()
 
 
+def test_replay_after_new_readings_keeps_what_was_exported(watch, readings):
+    sinks.insert_readings(shifted(readings.where("id < 400")), watch.readings)
+    assert watch.check(0) is True
+    sinks.insert_readings(shifted(readings.where("id >= 400 AND id < 450")), watch.readings)
+    assert watch.check(0) is True
+    table = tables.load_training_table(watch.spark, watch.training)
+    assert tuple(table.agg(F.count("UDI"), F.countDistinct("UDI"), F.max("UDI")).first()) == (450, 450, 450)
+    assert watch.live_readings().count() == 0 and len(audit(watch)) == 1
+
+
+def test_exports_follow_the_rows_of_the_batch_job(watch, readings):
+    sinks.insert_readings(shifted(readings.where("id < 500")), watch.readings)
+    jobs.export_readings(watch.spark, watch.readings, watch.training)
+    assert watch.live_readings().count() == 0
+    sinks.insert_readings(shifted(readings.where("id >= 500")), watch.readings)
+    assert watch.check(0) is True and audit(watch) == [(True, True)]
+    table = tables.load_training_table(watch.spark, watch.training)
+    n = readings.count()
+    assert tuple(table.agg(F.count("UDI"), F.countDistinct("UDI"), F.max("UDI")).first()) == (n, n, n)
+
+
+def test_a_failing_scorer_does_not_end_the_run(spark, readings):
+    path = scratch_path(spark, "stream")
+    bad = rd.with_bad_rows(readings).drop("predicted_failure_type", "target")
+
+    def broken(df):
+        raise RuntimeError("no model")
+
+    def run(scorer):
+        stream = spark.readStream.schema(bad.schema).parquet(f"{path}/in")
+        start_scoring(stream, lambda: (scorer, detail), f"{path}/out", f"{path}/rejected", f"{path}/cp").awaitTermination()
+
+    bad.where("id < 600").write.parquet(f"{path}/in")
+    run(broken)
+    bad.where("id >= 600").write.mode("append").parquet(f"{path}/in")
+    run(gate)
+    rejected = spark.read.parquet(f"{path}/rejected")
+    failed = rejected.where(F.array_contains("reasons", "scoring failed: RuntimeError: no model"))
+    assert failed.count() == quality.valid_readings(bad).where("id < 600").count()
+    assert spark.read.parquet(f"{path}/out").count() + rejected.count() == readings.count()
+
+
 def test_failed_export_is_retried(watch, readings, monkeypatch):
     sinks.insert_readings(shifted(readings), watch.readings)
 

@@ -34,15 +34,9 @@ SMALL = {
 
 
 @pytest.fixture(scope="module")
-def small_table(spark):
-    """Five failure groups of fifteen rows with equal sensor levels."""
-    groups = [(0, 0, 0, 0, 0), (1, 1, 0, 0, 0), (1, 0, 1, 0, 0), (1, 0, 0, 1, 0), (1, 0, 0, 0, 1)]
-    rows = [
-        (g * 15 + i + 1, "x", "LMH"[i % 3], 295 + i * 0.3, 305 + i * 0.3, 1300 + i * 5, 25 + i * 0.5, 10 + i * 2, *flags, 0)
-        for g, flags in enumerate(groups)
-        for i in range(15)
-    ]
-    return spark.createDataFrame(rows, schemas.TRAINING).cache()
+def small_table(spark, sf_dir):
+    """A hundred and fifty rows in which every failure class occurs."""
+    return rd.failure_pattern(rd.events(spark, sf_dir)).where("UDI <= 150").cache()
 
 
 @pytest.mark.parametrize("name", list(EXPERIMENTS))

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 _KS_TERMS = 100
 _ERF_TERMS = 150
-_CHI2_TERMS = 40
 
 
 def _series(terms: int, start: Column, advance) -> Column:
@@ -48,42 +47,30 @@ def normal_two_sided_p(z: Column) -> Column:
 
 
 def chi2_p(statistic: Column, degrees: Column) -> Column:
-    """Upper tail of the chi-squared distribution from its closed forms.
+    """Upper tail of the chi-squared distribution from its closed forms, for any degrees of freedom.
 
     Even degrees give a finite exponential sum, odd ones add the complementary error
-    function. Up to 80 degrees the sums are complete; beyond that the Wilson-Hilferty normal
-    approximation takes over.
+    function. There are as many terms as the degrees ask for; they are built from logarithms, so that
+    large statistics do not underflow.
     """
     half = statistic / 2.0
-    # Terms half^j / Gamma(j + 1) (even) or half^(j - 1/2) / Gamma(j + 1/2) (odd), j < degrees / 2.
-    even_sum = F.aggregate(
-        F.sequence(F.lit(1), F.lit(_CHI2_TERMS)),
-        F.struct(F.exp(-half).alias("term"), F.exp(-half).alias("total")),
+    odd = degrees % 2 == 1
+    # Terms exp(-half) half^j / Gamma(j + 1) from j = 0 (even), or with j + 1/2 for j (odd), while j < degrees / 2.
+    shift = F.when(odd, F.lit(0.5)).otherwise(F.lit(0.0))
+    first = -half + shift * F.ln(half) - F.when(odd, F.lit(math.lgamma(1.5))).otherwise(F.lit(0.0))
+    terms = F.aggregate(
+        F.sequence(F.lit(1), F.greatest(F.ceil(degrees / 2.0), F.lit(1)).cast("int")),
+        F.struct(first.alias("log"), F.lit(0.0).alias("total")),
         lambda acc, k: F.struct(
-            (acc["term"] * half / k).alias("term"),
-            (acc["total"] + F.when(k * 2 < degrees, acc["term"] * half / k).otherwise(F.lit(0.0))).alias("total"),
+            (acc["log"] + F.ln(half) - F.ln(k + shift)).alias("log"),
+            # The k-th step adds term k - 1, of which odd degrees have one less.
+            (acc["total"] + F.when(k * 2 <= degrees, F.exp(acc["log"])).otherwise(F.lit(0.0))).alias("total"),
         ),
         lambda acc: acc["total"],
     )
-    odd_first = F.exp(-half) * F.sqrt(half) / math.gamma(1.5)
-    odd_sum = F.aggregate(
-        F.sequence(F.lit(1), F.lit(_CHI2_TERMS)),
-        F.struct(odd_first.alias("term"), F.lit(0.0).alias("total")),
-        lambda acc, k: F.struct(
-            (acc["term"] * half / (k + 0.5)).alias("term"),
-            (acc["total"] + F.when(k * 2 < degrees, acc["term"]).otherwise(F.lit(0.0))).alias("total"),
-        ),
-        lambda acc: acc["total"],
-    )
-    cube = F.cbrt(statistic / degrees)
-    spread = F.lit(2.0) / (degrees * 9.0)
-    wide = (cube - (F.lit(1.0) - spread)) / F.sqrt(spread)
-    tail = normal_two_sided_p(wide) / 2.0
-    approximate = F.when(wide >= 0, tail).otherwise(F.lit(1.0) - tail)
+    tail = F.when(odd, erfc(F.sqrt(half)) + terms).otherwise(terms)
     return (
-        F.when(degrees < 1, F.lit(1.0))
+        F.when((degrees < 1) | (statistic <= 0), F.lit(1.0))
         .when(statistic == float("inf"), F.lit(0.0))
-        .when(degrees > 2 * _CHI2_TERMS, approximate)
-        .when(degrees % 2 == 0, F.least(even_sum, F.lit(1.0)))
-        .otherwise(F.least(erfc(F.sqrt(half)) + odd_sum, F.lit(1.0)))
+        .otherwise(F.least(tail, F.lit(1.0)))
     )

@@ -91,11 +91,28 @@ def purge_exported(readings: DataFrame, exported_ids: DataFrame, new_path: str)
     return readings.join(exported_ids.select("id"), "id", "left_semi").count()
 
 
+def newest_rows(df: DataFrame, rows: int, key: str, *ties: str) -> DataFrame:
+    """The last ``rows`` rows in the order of ``key`` and ``ties``.
+
+    A top-k alone keeps ``rows`` rows of every input partition. So a cut is found first, in one pass over
+    ``key``, beyond which a little more than ``rows`` rows lie; as a filter it reaches the scan, and
+    the top-k meets only what is left.
+    """
+    total = df.count()
+    share = 1.0 - (1.05 * rows + 1) / max(total, 1)
+    if share > 0:
+        cut = df.agg(F.percentile_approx(key, share, 10_000)).first()[0]
+        newer = df.where(F.col(key) >= F.lit(cut))
+        if newer.count() >= rows:
+            df = newer
+    return df.orderBy(*[F.desc(name) for name in (key, *ties)]).limit(rows)
+
+
 def training_window(training: DataFrame, rows: int = C.TRAINING_WINDOW) -> DataFrame:
     """The newest training rows; the key order is the append order."""
-    return training.orderBy(F.desc("UDI")).limit(rows)
+    return newest_rows(training, rows, "UDI")
 
 
 def newest_readings(readings: DataFrame, rows: int = C.CURRENT_ROWS) -> DataFrame:
     """The newest readings by time, ties broken by id."""
-    return readings.orderBy(F.desc("timestamp"), F.desc("id")).limit(rows)
+    return newest_rows(readings, rows, "timestamp", "id")

@@ -14,21 +14,17 @@ Scorer = Callable[[DataFrame], DataFrame]
 
 
 def gate_and_detail(df: DataFrame, gate: Scorer, detail: Scorer | None) -> DataFrame:
-    """Score with the binary gate, then name the failure type of the positives only.
+    """Score with the binary gate and name the failure type of the positives, in one pass over ``df``.
 
     ``gate`` adds ``machine_failure`` (0/1) and ``failure_probability``; ``detail`` adds
-    ``class_index``. Without a detail model, or when it answers "none", the type stays null
-    and the binary result stands.
+    ``class_index`` and must look at each row by itself: its answer counts where the gate says 1. Without a
+    detail model, or when it answers "none", the type stays null and the binary result stands.
     """
     gated = gate(df)
-    untyped = F.lit(None).cast("string")
     if detail is None:
-        return gated.withColumn("failure_type", untyped)
-    positive = F.col("machine_failure") == 1
-    typed = detail(gated.where(positive)).withColumn("failure_type", decode_class(F.col("class_index")))
-    typed = typed.drop("class_index")
-    rest = gated.where(~F.coalesce(positive, F.lit(False))).withColumn("failure_type", untyped)
-    return typed.unionByName(rest)
+        return gated.withColumn("failure_type", F.lit(None).cast("string"))
+    kind = F.when(F.col("machine_failure") == 1, decode_class(F.col("class_index")))
+    return detail(gated).withColumn("failure_type", kind).drop("class_index")
 
 
 def response(scored: DataFrame, *keys: str, model_name: str = C.BINARY_MODEL, version: str | None = None) -> DataFrame:

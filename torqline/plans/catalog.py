@@ -11,6 +11,7 @@ from torqline import config as C
 from torqline.functions import features, labels, quality
 from torqline.operators import drift, etl, metrics, registry, scenario, scoring, tool_life
 from torqline.operators.prefix import dense_sequence
+from torqline.plans import jobs
 from torqline.session import scratch_path
 from torqline.sources import readings as rd
 from torqline.sources import schemas, sinks, tables
@@ -372,6 +373,36 @@ def drift_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdict.withColumn("drift_share", F.round("drift_share", 9))
 
 
+def _untidy_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both halves with NaN, infinities and nulls planted by id; power is missing throughout the newer one."""
+    row_id, infinite = F.col("id"), F.lit(float("inf"))
+    torque = F.when(row_id % 41 == 0, F.lit(float("nan"))).when(row_id % 43 == 0, infinite)
+    speed = F.when(row_id % 37 == 0, -infinite).when(row_id % 47 != 0, F.col("rotational_speed_rpm"))
+    older, newer = (
+        half.withColumns({"torque_nm": torque.otherwise(F.col("torque_nm")), "rotational_speed_rpm": speed})
+        for half in _halves(spark, sf_dir)
+    )
+    newer = newer.withColumn("power_kw", F.lit(None).cast("double"))
+    return rd.drift_projection(older), rd.drift_projection(newer)
+
+
+@query
+def drift_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drift where values are missing or not finite, and one feature has no current value at all."""
+    return _rounded(drift.drift_by_column(*_untidy_pair(spark, sf_dir)))
+
+
+@query
+def drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch check of stored readings against a baseline file; the columns part of its report, read back."""
+    older, newer = _halves(spark, sf_dir)
+    path = scratch_path(spark, "drift-job")
+    etl.export_layout(older).write.option("header", True).csv(f"{path}/baseline")
+    sinks.insert_readings(newer, f"{path}/readings")
+    jobs.check_drift(spark, f"{path}/baseline", f"{path}/readings", report=f"{path}/report").collect()
+    return _rounded(spark.read.parquet(f"{path}/report/columns"))
+
+
 @query
 def drift_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     bins = drift.histograms(*_drift_pair(spark, sf_dir))

@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from torqline import config as C
-from torqline.operators import etl, registry
+from torqline.functions.quality import drop_incomplete
+from torqline.operators import drift, etl, registry
 from torqline.sources import readings as rd
 from torqline.sources import sinks, tables
 from torqline.sources.model_store import ModelStore
@@ -56,6 +57,29 @@ def export_readings(
     return result
 
 
+def check_drift(
+    spark: SparkSession,
+    baseline_csv: str,
+    readings: str,
+    since: str | None = None,
+    threshold: float = C.DRIFT_SHARE_THRESHOLD,
+    rows: int | None = None,
+    report: str | None = None,
+) -> DataFrame:
+    """Drift of the stored readings after ``since`` against a baseline file; the verdict in one row.
+
+    All readings are judged, or the newest ``rows`` of them if asked for. Incomplete rows of either side do not
+    count; ``low_sample`` says that too few are left. With ``report`` all parts of the report are written there.
+    """
+    baseline = tables.reference_features(tables.load_baseline_csv(spark, baseline_csv))
+    source = rd.load_readings(spark, readings, since)
+    judged = etl.newest_readings(source, rows) if rows else source
+    current = drop_incomplete(rd.drift_projection(judged))
+    if report:
+        sinks.write_drift_report(drift.drift_report(baseline, current), report)
+    return drift.drift_verdict(drift.drift_by_column(baseline, current), threshold)
+
+
 def train_and_log(
     spark: SparkSession,
     training: str,

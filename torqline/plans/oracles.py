@@ -259,9 +259,7 @@ _sql(
     f'SELECT id, "timestamp", machine_id, {SENSORS} FROM readings ORDER BY "timestamp" DESC, id DESC LIMIT 2500',
 )
 # The layout stores whole rpm and minutes; the features are computed from the stored values.
-_sql(
-    "baseline_csv",
-    f"""SELECT type, air_temperature_kelvin, process_temperature_kelvin,
+_BASELINE_FEATURES = f"""SELECT type, air_temperature_kelvin, process_temperature_kelvin,
       CAST(rotational_speed_rpm AS INTEGER) AS rotational_speed_rpm, torque_nm,
       CAST(tool_wear_minutes AS INTEGER) AS tool_wear_minutes,
       {WATTS} / {_d(1000)} AS power_kw, {GAP} AS temp_diff_kelvin,
@@ -269,9 +267,8 @@ _sql(
     FROM (SELECT "Type" AS type, "Air temperature [K]" AS air_temperature_kelvin,
         "Process temperature [K]" AS process_temperature_kelvin,
         CAST("Rotational speed [rpm]" AS DOUBLE) AS rotational_speed_rpm, "Torque [Nm]" AS torque_nm,
-        CAST("Tool wear [min]" AS DOUBLE) AS tool_wear_minutes FROM existing)""",
-    WHOLE,
-)
+        CAST("Tool wear [min]" AS DOUBLE) AS tool_wear_minutes FROM existing)"""
+_sql("baseline_csv", _BASELINE_FEATURES, WHOLE)
 _sql(
     "baseline_sensor_rows",
     'SELECT "Type", "Air temperature [K]", "Process temperature [K]", "Rotational speed [rpm]", "Torque [Nm]" '
@@ -419,6 +416,39 @@ _sql(
     _TYPE,
     _VERDICTS,
 )
+_UNTIDY = f"""
+untidy AS (
+  SELECT * REPLACE (
+    CASE WHEN id % 41 = 0 OR id % 43 = 0 THEN NULL ELSE torque_nm END AS torque_nm,
+    CASE WHEN id % 37 = 0 OR id % 47 = 0 THEN NULL ELSE rotational_speed_rpm END AS rotational_speed_rpm,
+    CASE WHEN {_IS_REF} THEN power_kw END AS power_kw)
+  FROM readings
+)"""
+_sql(
+    "drift_dirty",
+    """SELECT feature, method, CASE WHEN n_ref > 0 AND n_cur > 0 THEN round(value, 9) END AS value, threshold,
+      n_ref > 0 AND n_cur > 0 AND drifted AS drifted, n_ref, n_cur FROM verdicts""",
+    _UNTIDY,
+    _ecdf(_long(C.NUMERIC_FEATURES, "untidy", _IS_REF)),
+    _TYPE,
+    _VERDICTS,
+)
+_BOTH = f"""
+both_sides AS (
+  SELECT *, true AS is_ref FROM ({_BASELINE_FEATURES})
+  UNION ALL BY NAME
+  SELECT machine_type AS type, {NUMERIC}, false AS is_ref FROM newer
+)"""
+_sql(
+    "drift_report",
+    "SELECT feature, method, round(value, 9) AS value, threshold, drifted, n_ref, n_cur FROM verdicts",
+    SPLIT,
+    EXISTING,
+    _BOTH,
+    _ecdf(_long(C.NUMERIC_FEATURES, "both_sides", "is_ref")),
+    _cat_stats(["type"], "both_sides", "is_ref"),
+    _VERDICTS,
+)
 _B = C.HISTOGRAM_BINS
 _sql(
     "drift_histogram",

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from torqline import config as C
 from torqline.functions import features, labels
+from torqline.functions.hashing import hash_fraction, hash_integer
 from torqline.functions.quality import since_filter
 from torqline.operators.scenario import failure_rate
 from torqline.sources import schemas
@@ -102,36 +104,43 @@ def with_bad_rows(readings: DataFrame) -> DataFrame:
 def failure_pattern(source: DataFrame) -> DataFrame:
     """A training table over ``events`` in which every failure class is present and learnable.
 
-    Five groups of rows (none, twf, hdf, pwf, osf) step through fifteen sensor levels with a
-    jitter from the event's value; each failing group shows its physical signature.
+    A hash of the event picks the class of a row, further hashes draw its sensors: from the safe region, or from
+    the zone in which only that class's rule applies (worn tool, weak cooling at low speed, too much power, strain
+    on a worn tool).
     """
-    row = source.select(
-        F.col("event_id"),
-        (F.col("event_id") % 5).alias("g"),
-        F.expr("(event_id div 5) % 15").alias("i"),
-        (F.col("value") % 1.0).alias("jitter"),
-    )
-    group, level, jitter = F.col("g"), F.col("i"), F.col("jitter")
-
-    def shift(number: int, amount: float):
-        return F.when(group == number, F.lit(amount)).otherwise(F.lit(0.0))
-
-    air = F.lit(295.0) + level * 0.3
-    rpm = F.lit(1300.0) + level * 5 + shift(0, 100.0) + shift(1, 100.0) + shift(3, 300.0) + shift(4, 100.0)
+    key = F.col("event_id")
+    kind = (hash_integer(key, "class") % 5).cast("int")
+    names = ["none", "twf", "hdf", "pwf", "osf"]
+    variant = F.element_at(F.array(*map(F.lit, "LMH")), (hash_integer(key, "variant") % 3 + 1).cast("int"))
+
+    def drawn(sensor: str, safe: tuple[float, float], **zones: tuple[float, float]):
+        """A draw between two bounds, which depend on the class."""
+        low, high = F.lit(safe[0]), F.lit(safe[1])
+        for name, zone in zones.items():
+            low = F.when(kind == names.index(name), F.lit(zone[0])).otherwise(low)
+            high = F.when(kind == names.index(name), F.lit(zone[1])).otherwise(high)
+        return low + hash_fraction(key, sensor) * (high - low)
+
+    limit = F.lit(C.WEAR_DEFAULT)
+    for name, wear in C.WEAR_LIMITS.items():
+        limit = F.when(variant == name, F.lit(wear)).otherwise(limit)
+    air = drawn("air", (296.0, 304.0))
+    gap = drawn("gap", (9.4, 11.8), hdf=(7.4, C.HDF_MAX_GAP - 0.2))
+    speed = drawn("speed", (1420.0, 1750.0), hdf=(1280.0, C.HDF_MAX_RPM - 5.0), pwf=(1600.0, 1900.0), osf=(1150.0, 1220.0))
+    torque = drawn("torque", (32.0, 46.0), pwf=(60.0, 72.0), osf=(68.0, 70.0))
+    worn = limit + drawn("wear", (1.0, 15.0))
+    wear = F.when(kind == names.index("twf"), worn).otherwise(drawn("wear", (5.0, 150.0), osf=(192.0, 199.0)))
     layout = {
-        "UDI": F.col("event_id") + 1,
-        "Product ID": features.product_id(F.element_at(F.array(*map(F.lit, "LMH")), (level % 3 + 1).cast("int")), level),
-        "Type": F.element_at(F.array(*map(F.lit, "LMH")), (level % 3 + 1).cast("int")),
-        "Air temperature [K]": F.bround(air + jitter, 1),
-        "Process temperature [K]": F.bround(air + 10.0 + jitter + shift(2, -1.2) + (jitter - 0.5), 1),
-        "Rotational speed [rpm]": (rpm + jitter * 80).cast("int"),
-        "Torque [Nm]": F.bround(25.0 + level * 0.5 + jitter * 12 + shift(3, 25.0) + shift(4, 14.0), 1),
-        "Tool wear [min]": (10 + level * 2 + jitter * 60 + shift(1, 120.0) + shift(4, 80.0)).cast("int"),
-        "Machine failure": (group != 0).cast("int"),
-        "TWF": (group == 1).cast("int"),
-        "HDF": (group == 2).cast("int"),
-        "PWF": (group == 3).cast("int"),
-        "OSF": (group == 4).cast("int"),
+        "UDI": key + 1,
+        "Product ID": features.product_id(variant, key),
+        "Type": variant,
+        "Air temperature [K]": F.bround(air, 1),
+        "Process temperature [K]": F.bround(air + gap, 1),
+        "Rotational speed [rpm]": speed.cast("int"),
+        "Torque [Nm]": F.bround(torque, 1),
+        "Tool wear [min]": wear.cast("int"),
+        "Machine failure": (kind != 0).cast("int"),
+        **{name.upper(): (kind == number).cast("int") for number, name in enumerate(names) if number},
         "RNF": F.lit(0),
     }
-    return row.select(*[column.alias(name) for name, column in layout.items()])
+    return source.select(*[column.alias(name) for name, column in layout.items()])

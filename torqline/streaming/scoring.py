@@ -78,17 +78,25 @@ def start_scoring(
 ) -> StreamingQuery:
     """Score a stream of readings into ``output``; contract violations go to ``rejected``.
 
+    So do the valid readings of a micro-batch whose scoring fails, with the error as their reason: the
+    run goes on with the next one.
+
     ``scorers`` is asked before every micro-batch, which is where models are swapped. Batches
     are written under their number, so one that is replayed replaces its own rows.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        gate, detail = scorers()
         # Read once for the valid and the rejected branch; recomputed from the source if lost.
         batch = batch.persist()
         try:
-            write_batch(score_readings(quality.valid_readings(batch), gate, detail), output, batch_id, "batch_id")
-            write_batch(quality.quarantine(batch), rejected, batch_id, "batch_id")
+            refused, valid = quality.quarantine(batch), quality.valid_readings(batch)
+            try:
+                gate, detail = scorers()
+                write_batch(score_readings(valid, gate, detail), output, batch_id, "batch_id")
+            except Exception as error:  # noqa: BLE001 - whatever went wrong, later readings are scored
+                reason = f"scoring failed: {type(error).__name__}: {error}"[:500]
+                refused = refused.unionByName(valid.withColumn("reasons", F.array(F.lit(reason))))
+            write_batch(refused, rejected, batch_id, "batch_id")
         finally:
             batch.unpersist()
 
