@@ -15,15 +15,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXT_BATCH = 1000  # rows in an Arrow batch of whole texts
+
+
+def stored(df: DataFrame, label: str, batch_rows: int | None = None) -> DataFrame:
     """``df`` written once to the shared folder and read from there.
 
     What was drawn, numbered or hashed in ``df`` stays as it is when an executor is lost later, and nothing
-    above is computed twice.
+    above is computed twice. ``batch_rows`` sets the Arrow batches of this write only.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    before = spark.conf.get(_BATCH_ROWS)
+    spark.conf.set(_BATCH_ROWS, str(batch_rows or before))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH_ROWS, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def sent_if_small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:

@@ -22,13 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from torqline.llm import words
-from torqline.llm.common import sent_if_small, stored
+from torqline.llm.common import TEXT_BATCH, sent_if_small, stored
 from torqline.llm.components import components
 
 SHINGLE = 5
 PERCENT = 80  # similarity of a link
 COUNTERS = 1 << 16  # hashed shingle counts; they set the order only, any counts give the same links
-RANGES = 32  # hash ranges of the suffix filter
+RANGES = 128  # hash ranges of the suffix filter
 LEADER_ROUNDS = 2
 
 _WORD = ~words.byte_class(0x20, range(0x09, 0x0E))
@@ -146,7 +146,9 @@ class _Join:
 
     def prepare(self, counts) -> None:
         self.nodes = stored(
-            self.docs.mapInArrow(_prefixes(counts), "node long, n long, prefix array<long>, ranges array<int>"), "prefixes"
+            self.docs.mapInArrow(_prefixes(counts), "node long, n long, prefix array<long>, ranges array<int>"),
+            "prefixes",
+            TEXT_BATCH,
         )
         prefix = self.nodes.select("node", "n", F.posexplode("prefix").alias("pos", "shingle"))
         common = prefix.groupBy("shingle").count().filter("count > 1").select("shingle")
@@ -169,15 +171,19 @@ class _Join:
         )
         new = stored(new, "candidates")
         self.verified.append(new)
-        needed = new.select(F.col("a").alias("node")).unionByName(new.select(F.col("b").alias("node"))).distinct()
+        here = stored(
+            new.select(F.col("a").alias("node")).unionByName(new.select(F.col("b").alias("node"))).distinct(), "compared"
+        )
+        here, rows = sent_if_small(here, size := here.count(), 24), here
+        needed = rows
         for have in self.known:
             needed = needed.join(have.select("node"), "node", "left_anti")
-        needed = stored(needed, "needed")
-        texts = self.docs.join(sent_if_small(needed, needed.count(), 24), "node", "left_semi").select("node", "text")
-        self.known.append(stored(texts.mapInArrow(_sets, "node long, shingles array<long>"), "sets"))
+        texts = self.docs.join(sent_if_small(needed, size, 24), "node", "left_semi").select("node", "text")
+        self.known.append(stored(texts.mapInArrow(_sets, "node long, shingles array<long>"), "sets", TEXT_BATCH))
         sets = self.known[0]
         for more in self.known[1:]:
             sets = sets.unionByName(more)
+        sets = sets.join(here, "node", "left_semi")
         found = (
             new.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b")
@@ -193,6 +199,8 @@ class _Join:
 
     def labelled(self) -> DataFrame:
         """The shared prefix rows whose shingle still joins different groups, with their group."""
+        if not self.links:
+            return self.shared.withColumn("group", F.col("node"))
         groups = self.groups(rounds=2)
         rows = self.shared.join(groups, self.shared["node"] == groups["node"], "left").select(
             self.shared["*"], F.coalesce("component", self.shared["node"]).alias("group")
@@ -224,7 +232,7 @@ class _Join:
 
     def run(self) -> DataFrame:
         for turn in range(LEADER_ROUNDS):
-            rows = self.labelled() if self.links else self.shared.withColumn("group", F.col("node"))
+            rows = self.labelled()
             leader = rows.groupBy("shingle").agg(
                 F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("draw"), "node", "n", "pos", "group")).alias("l")
             )
@@ -251,7 +259,7 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     first = stored(
-        rows.mapInArrow(_signatures, "kind int, key long, n long, sig_a long, sig_b long"), "signatures"
+        rows.mapInArrow(_signatures, "kind int, key long, n long, sig_a long, sig_b long"), "signatures", TEXT_BATCH
     )
     counts = np.zeros(COUNTERS, np.int64)
     for row in first.filter("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).collect():
