@@ -24,6 +24,7 @@ from torqline.llm.samples import at_most, labels_of
 SAMPLE_ROWS = 20_000  # labelled rows of each kind that the lexicon and the scale are fitted on
 MIN_CONTEXTS = 5  # different neighbours a word needs in toxic texts, so that copies of one text count once
 MIN_PRECISION = 0.85
+MIN_DEVIATIONS = 4.0  # standard deviations by which an entry's toxic texts must exceed what chance gives
 STEMS = (4, 5, 6)  # lengths of word beginnings
 STEM_CONTEXTS = 25
 EXCEPTION_TEXTS = 3
@@ -59,46 +60,71 @@ def folded(text: str | None) -> str:
     return f" {_GAP.sub(' ', text).strip()} " if not text.isspace() else " "
 
 
+def _entries(text: str) -> Iterator[tuple[str, str]]:
+    """(entry, context): every word and its beginnings, with the words before and after it."""
+    tokens = ["", *text.split(), ""]
+    for before, word, after in zip(tokens, tokens[1:], tokens[2:]):
+        context = f"{before} {after}"
+        yield f" {word} ", context
+        for k in STEMS:
+            if len(word) > k:
+                yield f" {word[:k]}", context
+
+
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct (kind of entry, entry, context) of every sampled document."""
-    schema = pa.schema([("label", pa.int32()), ("entry", pa.string()), ("context", pa.string())])
+    """The distinct (entry, context) of every document."""
     for batch in batches:
-        for label, text in zip(batch.column(0), batch.column(1), strict=True):
-            tokens = ["", *folded(text.as_py()).split(), ""]
-            rows = set()
-            for before, word, after in zip(tokens, tokens[1:], tokens[2:]):
-                context = f"{before} {after}"
-                rows.add((f" {word} ", context))
-                rows.update((f" {word[:k]}", context) for k in STEMS if len(word) > k)
+        for text in batch.column(0):
+            rows = set(_entries(folded(text.as_py())))
             entries, contexts = zip(*rows) if rows else ((), ())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([label.as_py()] * len(rows), pa.int32()), pa.array(entries, pa.string()), pa.array(contexts, pa.string())],
-                schema=schema,
+                [pa.array(entries, pa.string()), pa.array(contexts, pa.string())], names=["entry", "context"]
             )
 
 
 def _lexicon(sample: DataFrame, toxic: int, harmless: int) -> dict[str, float]:
-    found = sample.mapInArrow(_contexts, "label int, entry string, context string")
-    # How many different neighbours an entry has in texts of either label: one row per entry and context first.
-    # hash64 keys are enough to tell contexts apart here.
-    pairs = found.groupBy("entry", F.xxhash64("context").alias("context")).agg(
-        F.max("label").alias("label"), F.min("label").alias("least")
-    )
-    counts = pairs.groupBy("entry").agg(
-        F.sum("label").alias("t"), F.sum(1 - F.col("least")).alias("n"), F.count("*").alias("all")
-    )
-    stem = ~F.col("entry").endswith(" ")
-    enough = F.when(stem, F.lit(STEM_CONTEXTS)).otherwise(F.lit(MIN_CONTEXTS))
-    weight = F.log((F.col("t") + 0.5) / toxic) - F.log((F.col("n") + 0.5) / harmless)
-    rows = (
-        counts.filter((F.col("t") >= enough) & (F.col("t") >= MIN_PRECISION * F.col("all")))
-        .select("entry", weight.alias("weight"), "t")
-        .filter("weight > 0.5")
-        .orderBy(F.desc("t"), "entry")
-        .limit(LEXICON_ENTRIES)
+    """Entries with enough different contexts in toxic texts that few harmless texts hold, with log-odds weights.
+
+    Contexts, not texts, are counted on the toxic side: the words of a text with many copies are no lexicon. Both
+    lists that pass the driver are bounded by the sample.
+    """
+    found = sample.filter("label = 1").select("text").mapInArrow(_contexts, "entry string, context string")
+    pairs = found.groupBy("entry", F.xxhash64("context").alias("context")).agg(F.lit(1).alias("one"))
+    enough = F.when(F.col("entry").endswith(" "), F.lit(MIN_CONTEXTS)).otherwise(F.lit(STEM_CONTEXTS))
+    often = {
+        row["entry"]: row["t"]
+        for row in pairs.groupBy("entry").agg(F.count("*").alias("t")).filter(F.col("t") >= enough).collect()
+    }
+
+    def presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[tuple[str, int], int] = {}
+        for batch in batches:
+            for label, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                for entry in {e for e, _ in _entries(folded(text.as_py()))}:
+                    if entry in often:
+                        counts[entry, label] = counts.get((entry, label), 0) + 1
+        entries, labels = zip(*counts) if counts else ((), ())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(entries, pa.string()), pa.array(labels, pa.int32()), pa.array(list(counts.values()), pa.int64())],
+            names=["entry", "label", "n"],
+        )
+
+    texts = sample.mapInArrow(presence, "entry string, label int, n long")
+    held = {
+        row["entry"]: (row["t"] or 0, row["h"] or 0)
+        for row in texts.groupBy("entry")
+        .agg(F.sum(F.col("n") * F.col("label")).alias("t"), F.sum(F.col("n") * (1 - F.col("label"))).alias("h"))
         .collect()
-    )
-    return {row["entry"]: row["weight"] for row in rows}
+    }
+    weights = {}
+    for entry in sorted(often, key=lambda e: (-often[e], e)):
+        t, h = held.get(entry, (0, 0))
+        weight = math.log((t + 0.5) / toxic) - math.log((h + 0.5) / harmless)
+        by_chance, share = (t + h) * toxic / (toxic + harmless), toxic / (toxic + harmless)
+        beyond = t - by_chance >= MIN_DEVIATIONS * math.sqrt(by_chance * (1 - share))
+        if t >= MIN_PRECISION * (t + h) and beyond and weight > 0.5 and len(weights) < LEXICON_ENTRIES:
+            weights[entry] = weight
+    return weights
 
 
 def automaton(lexicon: dict[str, float], exceptions: set[str]) -> ahocorasick.Automaton:
