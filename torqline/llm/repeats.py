@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from torqline.llm import words
-from torqline.llm.common import sent_if_small, stored
+from torqline.llm.common import TEXT_BATCH, sent_if_small, stored
 
 SPAN = 400
 GRAM = 32
@@ -387,7 +387,7 @@ def repeated_passages(
     )
     ident = ["text_a", "text_b"]
     long = rows.filter(F.octet_length("text") >= span).select(*ident, "text")
-    keys = stored(long.mapInArrow(_keys(span, gram), "text_a long, text_b long, bucket long, start long"), "keys")
+    keys = stored(long.mapInArrow(_keys(span, gram), "text_a long, text_b long, bucket long, start long"), "keys", TEXT_BATCH)
     where = F.struct(*ident, "start")
     shared = keys.groupBy("bucket").agg(F.min(where).alias("low"), F.max(where).alias("high")).filter("low < high")
     wanted = keys.join(shared.select("bucket"), "bucket").groupBy(*ident).agg(F.collect_set("bucket").alias("buckets"))
@@ -398,6 +398,7 @@ def repeated_passages(
         .withColumn("piece_a", F.xxhash64("piece"))
         .withColumn("piece_b", F.xxhash64(F.lit(19), "piece")),
         "pieces",
+        TEXT_BATCH,
     )
     own = ["piece_a", "piece_b"]
     cut = pieces.filter("bucket IS NOT NULL")
@@ -426,7 +427,7 @@ def repeated_passages(
     found = indexed.unionByName(whole)
     if not sizes.filter(F.col("bytes") > bucket_bytes).isEmpty():
         found = found.unionByName(counted)
-    found = stored(found, "found")
+    found = stored(found, "found", TEXT_BATCH)
     placed = cut.join(found, own).select(
         *ident, F.transform("runs", lambda x: x + F.col("start")).alias("runs")
     )
