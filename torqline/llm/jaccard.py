@@ -1,7 +1,8 @@
 """N-gram Jaccard join: near duplicates by rare-first prefix filtering.
 
 A document is its set of distinct shingles (five words; fewer words are one shingle). Shingles have one global order,
-rarest first, by counts over all documents in a table of hashed counters, ties by hash. Two sets similar enough share a
+rarest first: by counts over all documents in a table of hashed counters, ties by hash; shingles that then turn out to lie
+in many prefixes go to the end by their exact counts. Two sets similar enough share a
 shingle in their prefixes, so only prefixes are joined. Candidates must pass the length filter, the positional filter
 (what can still be shared behind the common shingle) and the suffix filter (shares of hash ranges, which bound the
 overlap); each pair that is left is verified once, on whole sets.
@@ -29,7 +30,14 @@ SHINGLE = 5
 PERCENT = 80  # similarity of a link
 COUNTERS = 1 << 16  # hashed shingle counts; they set the order only, any counts give the same links
 RANGES = 128  # hash ranges of the suffix filter
-LEADER_ROUNDS = 2
+LEADER_ROUNDS = 3
+# Members of its main group, and others, that those outside it are held against in later rounds, where a shingle has
+# four times as many outside.
+LEADERS = 16
+# Prefix shingles of more documents than this are put last, by their exact counts; the most frequent ones if there
+# should be more of them. As any order gives the same links, neither number decides anything but the speed.
+FREQUENT = 8
+FREQUENT_LIMIT = 1 << 20
 
 _WORD = ~words.byte_class(0x20, range(0x09, 0x0E))
 _FACTORS = np.random.default_rng(11).integers(1, 1 << 63, SHINGLE, dtype=np.uint64) | np.uint64(1)
@@ -84,11 +92,12 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def _prefixes(counts):
+def _prefixes(counts, frequent=None):
     """Prefix in global order, and how many shingles lie in each hash range, of every document with shingles."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order_of = counts.value
+        known, times = frequent.value if frequent else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         for batch in batches:
             ids = batch.column(0).to_numpy()
             rows: list[tuple] = []
@@ -96,7 +105,11 @@ def _prefixes(counts):
                 n = len(shingles)
                 if not n:
                     continue
-                order = np.lexsort((shingles, order_of[(shingles & np.uint64(COUNTERS - 1)).astype(np.int64)]))
+                keys = [shingles, order_of[(shingles & np.uint64(COUNTERS - 1)).astype(np.int64)]]
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
+                    keys.append(np.where(known[at] == shingles, times[at], 0))
+                order = np.lexsort(keys)
                 prefix = shingles[order[: n - -(-PERCENT * n // 100) + 1]]
                 ranges = np.bincount((shingles >> np.uint64(64 - RANGES.bit_length() + 1)).astype(np.int64), minlength=RANGES)
                 rows.append((ids[d], n, _signed(prefix), ranges.astype(np.int32)))
@@ -145,18 +158,29 @@ class _Join:
         self.known: list[DataFrame] = []  # node, shingles of the documents compared so far
 
     def prepare(self, counts) -> None:
-        self.nodes = stored(
-            self.docs.mapInArrow(_prefixes(counts), "node long, n long, prefix array<long>, ranges array<int>"),
-            "prefixes",
-            TEXT_BATCH,
-        )
-        prefix = self.nodes.select("node", "n", F.posexplode("prefix").alias("pos", "shingle"))
+        schema = "node long, n long, prefix array<long>, ranges array<int>"
+        nodes = stored(self.docs.mapInArrow(_prefixes(counts), schema), "prefixes", TEXT_BATCH)
+        prefix = nodes.select("node", F.explode("prefix").alias("shingle"))
+        often = prefix.groupBy("shingle").count().filter(F.col("count") > FREQUENT)
+        often = stored(often.orderBy(F.desc("count"), "shingle").limit(FREQUENT_LIMIT), "frequent")
+        found = often.toPandas()  # FREQUENT_LIMIT rows of two numbers at most
+        if len(found):
+            shingles = found["shingle"].to_numpy().view(np.uint64)
+            sort = np.argsort(shingles)
+            frequent = self.docs.sparkSession.sparkContext.broadcast((shingles[sort], found["count"].to_numpy()[sort]))
+            # The prefixes of other documents stay as they are.
+            moved = stored(prefix.join(F.broadcast(often.select("shingle")), "shingle").select("node").distinct(), "moved")
+            moved = sent_if_small(moved, moved.count(), 24)
+            again = self.docs.join(moved, "node", "left_semi").mapInArrow(_prefixes(counts, frequent), schema)
+            nodes = nodes.join(moved, "node", "left_anti").unionByName(stored(again, "prefixes", TEXT_BATCH))
+        self.nodes = nodes
+        prefix = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "shingle"))
         common = prefix.groupBy("shingle").count().filter("count > 1").select("shingle")
         self.shared = stored(prefix.join(common, "shingle"), "shared")
 
     def verify(self, pairs: DataFrame) -> None:
         """Adds the links among ``pairs`` (a, b, n_a, n_b); each pair is compared once."""
-        new = pairs.dropDuplicates(["a", "b"])
+        new = stored(pairs.dropDuplicates(["a", "b"]), "pairs")
         for done in self.verified:
             new = new.join(done.select("a", "b"), ["a", "b"], "left_anti")
         ranges = self.nodes.select("node", "ranges")
@@ -201,7 +225,7 @@ class _Join:
         """The shared prefix rows whose shingle still joins different groups, with their group."""
         if not self.links:
             return self.shared.withColumn("group", F.col("node"))
-        groups = self.groups(rounds=2)
+        groups = self.groups(rounds=4)
         rows = self.shared.join(groups, self.shared["node"] == groups["node"], "left").select(
             self.shared["*"], F.coalesce("component", self.shared["node"]).alias("group")
         )
@@ -210,39 +234,67 @@ class _Join:
         return rows.join(mixed.select("shingle"), "shingle")
 
     @staticmethod
-    def pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-        """Rows of ``left`` and ``right`` with the same shingle, of different groups, that pass the first filters."""
-        one = left.select("shingle", *[F.col(c).alias(f"{c}_x") for c in ("node", "n", "pos", "group")])
-        two = right.select("shingle", *[F.col(c).alias(f"{c}_y") for c in ("node", "n", "pos", "group")])
+    def pairs(left: DataFrame, right: DataFrame, complete: bool = False) -> DataFrame:
+        """Pairs of ``left`` and ``right`` with a common prefix shingle, of different groups, that pass the first filters.
+
+        If every common prefix shingle of a pair is met here (``complete``, with ``out`` flags on both sides, so that each is
+        met once), what they share is at most these shingles and what lies behind the last of them.
+        """
+        columns = ["node", "n", "pos", "group", *(["out"] if complete else [])]
+        one = left.select("shingle", *[F.col(c).alias(f"{c}_x") for c in columns])
+        two = right.select("shingle", *[F.col(c).alias(f"{c}_y") for c in columns])
         behind = F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y"))
+        once = ~F.col("out_y") | (F.col("node_x") < F.col("node_y")) if complete else F.lit(True)
         kept = one.join(
             two,
             (one["shingle"] == two["shingle"])
             & (F.col("group_x") != F.col("group_y"))
             & (100 * F.least("n_x", "n_y") >= PERCENT * F.greatest("n_x", "n_y"))
-            & _similar(behind, F.col("n_x"), F.col("n_y")),
+            & _similar(behind, F.col("n_x"), F.col("n_y"))
+            & once,
         )
         swap = F.col("node_x") > F.col("node_y")
-        return kept.select(
+        found = kept.groupBy(
             F.least("node_x", "node_y").alias("a"),
             F.greatest("node_x", "node_y").alias("b"),
             F.when(swap, F.col("n_y")).otherwise(F.col("n_x")).alias("n_a"),
             F.when(swap, F.col("n_x")).otherwise(F.col("n_y")).alias("n_b"),
-        )
+        ).agg(F.count("*").alias("met"), F.min(behind).alias("behind"))
+        if complete:
+            found = found.filter(_similar(F.col("met") + F.col("behind") - 1, F.col("n_a"), F.col("n_b")))
+        return found.select("a", "b", "n_a", "n_b")
+
+    @staticmethod
+    def leaders(rows: DataFrame, turn: int, number: int = 1) -> DataFrame:
+        """``number`` rows of each shingle at most, the same documents wherever they can be."""
+        drawn = F.struct(F.xxhash64(F.lit(turn), "node").alias("draw"), "node", "n", "pos", "group")
+        slot = F.pmod(F.xxhash64(F.lit(turn + 100), "node"), F.lit(number)).alias("slot")
+        return rows.groupBy("shingle", slot).agg(F.min(drawn).alias("l")).select("shingle", "l.node", "l.n", "l.pos", "l.group")
+
+    @staticmethod
+    def outside(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The rows of each shingle inside its largest group, and the others."""
+        sizes = rows.groupBy("shingle", "group").count()
+        main = sizes.groupBy("shingle").agg(F.max(F.struct("count", "group")).alias("m")).select("shingle", "m.group")
+        return rows.join(main, ["shingle", "group"]), rows.join(main, ["shingle", "group"], "left_anti")
 
     def run(self) -> DataFrame:
         for turn in range(LEADER_ROUNDS):
-            rows = self.labelled()
-            leader = rows.groupBy("shingle").agg(
-                F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("draw"), "node", "n", "pos", "group")).alias("l")
-            )
-            self.verify(self.pairs(rows, leader.select("shingle", "l.node", "l.n", "l.pos", "l.group")))
+            rows = stored(self.labelled(), "remaining")
+            tries = self.pairs(rows, self.leaders(rows, turn))
+            if turn:
+                # Who is still outside tries several members of the main group, and of the others.
+                inside, others = self.outside(rows)
+                crowded = others.groupBy("shingle").count().filter(F.col("count") > 4 * LEADERS).select("shingle")
+                for side in (inside, others):
+                    chosen = self.leaders(side.join(crowded, "shingle"), turn, LEADERS)
+                    tries = tries.unionByName(self.pairs(others, chosen))
+            self.verify(tries)
         rows = stored(self.labelled(), "remaining")
-        # Every pair of different groups has a side outside any one group of its shingle: leave out the smallest one.
-        main = rows.groupBy("shingle", "group").count()
-        main = main.groupBy("shingle").agg(F.max(F.struct("count", "group")).alias("m")).select("shingle", "m.group")
-        outside = rows.join(main, ["shingle", "group"], "left_anti")
-        self.verify(self.pairs(outside, rows))
+        # Every pair of different groups has a side outside the largest group of its shingle.
+        inside, others = self.outside(rows)
+        others = others.withColumn("out", F.lit(True))
+        self.verify(self.pairs(others, others.unionByName(inside.withColumn("out", F.lit(False))), complete=True))
         return self.groups()
 
 
