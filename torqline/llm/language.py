@@ -27,6 +27,7 @@ _STRETCH, _STRETCHES = 16, 4  # words per stretch of one language, stretches per
 _STAY = 0.6  # chance that the next stretch keeps the language
 _EPOCHS, _BATCH, _RATE = 3, 256, 0.25
 _GROUP = 256
+_SLICE = 2 << 20  # bytes of text whose features are held together
 
 _LETTER = words.byte_class(range(ord("a"), ord("z") + 1), range(ord("A"), ord("Z") + 1), range(0x80, 0x100))
 _LOWER = np.arange(256, dtype=np.uint32)
@@ -190,7 +191,7 @@ def fit_languages(docs: DataFrame, learn: Column, rows_per_language: int = ROWS_
 def word_marginals(model: dict, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
     """(document, number of its first word in the slice, marginals of its words) of every document with words."""
     data, offsets = words.text_bytes(column)
-    for i, j in words.slices(offsets):
+    for i, j in words.slices(offsets, _SLICE):
         own, cut = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         starts, ends, first = words.word_spans(own, cut, _LETTER)
         scores = emissions(model["table"], own, starts, ends)
