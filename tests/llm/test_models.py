@@ -120,6 +120,28 @@ def test_exceptions_are_learnt_from_harmless_contexts(spark):
     assert all((found[i] >= 0.5) == bool(bad) for i, _, bad in rows)
 
 
+def test_a_sample_of_each_kind_gives_the_scores_of_all_rows(spark):
+    """A tenth of the rows is toxic; a sample with as many of each kind must neither lower the bar nor raise scores."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(3000):
+        words, bad = [f"w{rng.randrange(400)}" for _ in range(20)], int(i % 10 == 0)
+        for word, rates, at in (("vile", (0.003, 0.6), 5), ("edgy", (0.055, 0.6), 12)):
+            if rng.random() < rates[bad]:
+                words[at] = word
+        rows.append((i, " ".join(words), bad))
+    both = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    docs, labels = both.drop("toxic"), both.select("doc_id", "toxic")
+    full, sampled = (toxicity.fit_toxicity(docs, labels, F.lit(True), sample_rows=n) for n in (3000, 300))
+    assert " vile " in full["lexicon"] and " edgy " not in full["lexicon"]
+    assert " vile " in sampled["lexicon"] and " edgy " not in sampled["lexicon"]
+    one, two = (
+        np.array([r["score"] for r in toxicity.toxicity_scores(docs, m).orderBy("doc_id").collect()]) for m in (full, sampled)
+    )
+    assert np.abs(one - two).mean() < 0.02
+    assert abs(two.mean() - 0.1) < 0.03
+
+
 def test_forward_backward_matches_enumeration():
     rng = np.random.default_rng(8)
     scores, moves, lengths = rng.normal(size=(3, 5, 3)), rng.normal(size=(3, 3)), np.array([5, 2, 1])

@@ -82,11 +82,16 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _lexicon(sample: DataFrame, toxic: int, harmless: int) -> dict[str, float]:
+def _precise(t: int, h: int, stands_for: dict[int, float]) -> bool:
+    """Whether the toxic share among all labelled texts with an entry, from the sampled ones, is high enough."""
+    return t * stands_for[1] >= MIN_PRECISION * (t * stands_for[1] + h * stands_for[0])
+
+
+def _lexicon(sample: DataFrame, toxic: int, harmless: int, stands_for: dict[int, float]) -> dict[str, float]:
     """Entries with enough different contexts in toxic texts that few harmless texts hold, with log-odds weights.
 
     Contexts, not texts, are counted on the toxic side: the words of a text with many copies are no lexicon. Both
-    lists that pass the driver are bounded by the sample.
+    lists that pass the driver are bounded by the sample. A sampled row of class k is one of ``stands_for[k]``.
     """
     found = sample.filter("label = 1").select("text").mapInArrow(_contexts, "entry string, context string")
     pairs = found.groupBy("entry", F.xxhash64("context").alias("context")).agg(F.lit(1).alias("one"))
@@ -121,8 +126,10 @@ def _lexicon(sample: DataFrame, toxic: int, harmless: int) -> dict[str, float]:
         t, h = held.get(entry, (0, 0))
         weight = math.log((t + 0.5) / toxic) - math.log((h + 0.5) / harmless)
         by_chance, share = (t + h) * toxic / (toxic + harmless), toxic / (toxic + harmless)
+        # As much as the entry's rates in the two classes differ by: that holds in counts of the sample, however each
+        # class was sampled; rows counted several times would pass for more evidence than there is.
         beyond = t - by_chance >= MIN_DEVIATIONS * math.sqrt(by_chance * (1 - share))
-        if t >= MIN_PRECISION * (t + h) and beyond and weight > 0.5 and len(weights) < LEXICON_ENTRIES:
+        if _precise(t, h, stands_for) and beyond and weight > 0.5 and len(weights) < LEXICON_ENTRIES:
             weights[entry] = weight
     return weights
 
@@ -158,14 +165,14 @@ def _inputs(total: float, n: int) -> tuple[float, float, float]:
     return total, math.log1p(total), math.log1p(100.0 * total / (n + 1))
 
 
-def _fit_scale(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Logistic regression by Newton steps with a small ridge."""
+def _fit_scale(x: np.ndarray, y: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Logistic regression by Newton steps with a small ridge; row i counts ``counts[i]`` times."""
     x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
     w = np.zeros(x.shape[1])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + 0.5 * np.eye(x.shape[1])
-        step = np.linalg.solve(hessian, x.T @ (p - y) + 0.5 * w)
+        hessian = (x * (counts * p * (1 - p))[:, None]).T @ x + 0.5 * np.eye(x.shape[1])
+        step = np.linalg.solve(hessian, x.T @ (counts * (p - y)) + 0.5 * w)
         w = w - step
         if np.abs(step).max() < 1e-8:
             break
@@ -211,19 +218,22 @@ def fit_toxicity(
 ) -> dict:
     """Lexicon, exceptions and scale from at most about ``sample_rows`` labelled rows of each kind, all where ``learn``.
 
-    ``learn`` is a condition on doc_id; texts are whole. Without rows of both kinds the lexicon is empty and every
-    score is 0.
+    ``learn`` is a condition on doc_id; texts are whole. Each kind is sampled on its own; precision and scale count a
+    row as often as rows of its kind it stands for, so they are those of all labelled rows. Without rows of both
+    kinds the lexicon is empty and every score is 0.
     """
     known = labels_of(labels, column).filter(learn)
     drawn = [at_most(known.filter(F.col("label") == k), "doc_id", sample_rows, 71 + k) for k in (0, 1)]
     chosen = drawn[0].unionByName(drawn[1]).select(F.col("doc_id").alias("_tq_id"), "label")
+    taken, of = ({r["label"]: r["count"] for r in rows.groupBy("label").count().collect()} for rows in (chosen, known))
+    stands_for = {k: of[k] / n for k, n in taken.items()}
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     # Twice sample_rows ids at most, so the hint holds at every size.
     sample = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_tq_id")).select("label", "text")
     have = {row["label"]: row["count"] for row in sample.groupBy("label").count().collect()}
     if not (have.get(0) and have.get(1)):
         return {"lexicon": {}, "exceptions": set(), "scale": None}
-    lexicon = _lexicon(sample, have[1], have[0])
+    lexicon = _lexicon(sample, have[1], have[0], stands_for)
     exceptions = _excused(sample, lexicon)
     matcher = automaton(lexicon, exceptions)
 
@@ -233,7 +243,8 @@ def fit_toxicity(
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.float64()))], names=["label", "x"])
 
     got = sample.mapInArrow(measure, "label int, x array<double>").toPandas()
-    scale = _fit_scale(np.array(got["x"].tolist()), got["label"].to_numpy(dtype=float))
+    counts = got["label"].map(stands_for).to_numpy(dtype=float)
+    scale = _fit_scale(np.array(got["x"].tolist()), got["label"].to_numpy(dtype=float), counts)
     return {"lexicon": lexicon, "exceptions": exceptions, "scale": scale}
 
 
