@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from torqline import config as C
 from torqline.functions import features
 from torqline.operators import registry, scoring
+from torqline.plans import catalog
 from torqline.session import scratch_path
 from torqline.sources import readings as rd
 from torqline.sources import schemas
@@ -55,6 +56,31 @@ def test_twelve_experiments():
     assert {(e.family, e.multiclass) for e in EXPERIMENTS.values()} == set(product(families, [True, False]))
 
 
+class Stop(Exception):
+    pass
+
+
+@pytest.mark.parametrize("name", [*(f"train_{n}" for n in EXPERIMENTS), "log_and_promote", "score_batch_model"])
+def test_registered_training_has_the_published_settings(spark, sf_dir, monkeypatch, name):
+    def seen(table, experiment):
+        assert experiment == EXPERIMENTS[experiment.name]
+        raise Stop
+
+    monkeypatch.setattr(catalog, "train_model", seen)
+    with pytest.raises(Stop):
+        catalog.QUERIES[name](spark, sf_dir)
+
+
+def test_registered_search_has_all_trials_and_nothing_fixed(spark, sf_dir, monkeypatch):
+    def seen(table, experiment, trials=30, **rest):
+        assert experiment == EXPERIMENTS[experiment.name] and trials == 30 and not rest.get("fixed")
+        raise Stop
+
+    monkeypatch.setattr(catalog, "tune_model", seen)
+    with pytest.raises(Stop):
+        catalog.QUERIES["tune_gbt"](spark, sf_dir)
+
+
 def test_rare_class_is_refused():
     with pytest.raises(ValueError, match="at least 3"):
         check_classes({0: 100, 1: 2}, EXPERIMENTS["rf_binary"])

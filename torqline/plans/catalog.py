@@ -720,22 +720,6 @@ def tool_life_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- training (results depend on random draws inside the learners) -------------------------------------------
 
-# Shorter fits than the full settings of the experiments, so that twelve of them finish in minutes.
-QUICK = {
-    "xgboost": {"maxIter": 8, "maxDepth": 4},
-    "lightgbm": {"maxIter": 8, "maxDepth": 3},
-    "random_forest": {"numTrees": 20, "maxDepth": 8},
-    "logreg": {"maxIter": 100},
-    "svm": {"maxIter": 10, "fourierFeatures": 64},
-    "mlp": {"maxIter": 40},
-}
-
-
-def _quick(name: str) -> Experiment:
-    experiment = EXPERIMENTS[name]
-    return experiment.with_params(**QUICK[experiment.family])
-
-
 def _window_for(spark: SparkSession, sf_dir: str, experiment: Experiment) -> DataFrame:
     """The newest training rows; the multiclass target needs a table with all classes."""
     if experiment.multiclass:
@@ -747,7 +731,7 @@ def _window_for(spark: SparkSession, sf_dir: str, experiment: Experiment) -> Dat
 
 def _training_query(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        experiment = _quick(name)
+        experiment = EXPERIMENTS[name]
         _, scores, _ = train_model(_window_for(spark, sf_dir, experiment), experiment)
         rows = [(name, metric, float(value)) for metric, value in scores.items()]
         return spark.createDataFrame(rows, "experiment string, metric string, value double")
@@ -763,13 +747,13 @@ for _name in EXPERIMENTS:
 def tune_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     experiment = EXPERIMENTS["lgbm_binary"]
     table = _window_for(spark, sf_dir, experiment)
-    _, trials = tune_model(table, experiment, trials=2, fixed={"maxIter": 5, "maxDepth": 4})
+    _, trials = tune_model(table, experiment)
     rows = [(i, float(t["stepSize"]), int(t["minInstancesPerNode"]), t["mean_f1"]) for i, t in enumerate(trials)]
     return spark.createDataFrame(rows, "trial int, step_size double, min_instances int, mean_f1 double")
 
 
 def _trained(spark: SparkSession, sf_dir: str, name: str):
-    experiment = _quick(name)
+    experiment = EXPERIMENTS[name]
     return experiment, *train_model(_window_for(spark, sf_dir, experiment), experiment)
 
 
