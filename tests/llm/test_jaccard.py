@@ -65,6 +65,20 @@ def test_chains_and_wide_groups(spark, monkeypatch, leaders, tmp_path):
     assert found(spark.read.parquet(path)) == brute(rows)
 
 
+def test_ids_with_different_texts_are_one_node(spark, tmp_path):
+    rng = random.Random(12)
+    a, b, c, d, e, f, g, h, i, j = (words_of(rng, 100) for _ in range(10))
+    near = lambda text: f"{text} more"
+    rows = [(5, a), (9, near(a)), (5, b), (3, b), (20, c), (20, d), (21, near(d)), (22, near(c)), (30, ""), (30, e), (2, near(e))]
+    rows += [(40, f), (40, g), (39, near(g)), (50, h), (50, i), (51, h), (51, j), (None, j), (60, None), (60, "x y")]
+    path = str(tmp_path / "d.parquet")
+    spark.createDataFrame([row(*r) for r in rows], SCHEMA).repartition(3).write.parquet(path)
+    docs = spark.read.parquet(path)
+    assert found(docs) == brute(rows)
+    stay = sorted(k for (k, _, c), n in brute(rows).items() for _ in range(n) if k is not None and k == c)
+    assert sorted(r["doc_id"] for r in jaccard.without_near_duplicates(docs).collect() if r["doc_id"] is not None) == stay
+
+
 def test_one_document_of_each_group_stays(docs, rows):
     expected = sorted(i for (i, _, c), n in brute(rows).items() for _ in range(n) if i is not None and i == c)
     got = jaccard.without_near_duplicates(docs)

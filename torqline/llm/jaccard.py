@@ -70,6 +70,24 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def _signature(shingles: np.ndarray) -> tuple[np.uint64, np.uint64]:
+    return (
+        words.mixed(shingles ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64),
+        words.mixed(shingles + np.uint64(0x14057B7EF767814F)).sum(dtype=np.uint64),
+    )
+
+
+def _with_signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Set size, signature and text of the documents that have shingles."""
+    for batch in batches:
+        rows = [(d, len(s), *_signature(s)) for d, s in shingle_sets(batch.column(1)) if len(s)]
+        at, n, a, b = (np.array(x, t) for x, t in zip(zip(*rows) if rows else [()] * 4, ("i8", "i8", "u8", "u8")))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(n), pa.array(_signed(a)), pa.array(_signed(b)), batch.column(1).take(pa.array(at))],
+            names=["n", "sig_a", "sig_b", "text"],
+        )
+
+
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Kind 0: a document, its set size and a 128-bit signature of its set. Kind 1: a counter of this task."""
     names = ["kind", "key", "n", "sig_a", "sig_b"]
@@ -78,8 +96,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, sig = np.zeros(batch.num_rows, np.int64), np.zeros((2, batch.num_rows), np.uint64)
         for d, shingles in shingle_sets(batch.column(1)):
             n[d] = len(shingles)
-            sig[0, d] = words.mixed(shingles ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
-            sig[1, d] = words.mixed(shingles + np.uint64(0x14057B7EF767814F)).sum(dtype=np.uint64)
+            sig[:, d] = _signature(shingles)
             counters += np.bincount((shingles & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
         zero = pa.array(np.zeros(batch.num_rows, np.int32))
         yield pa.RecordBatch.from_arrays(
@@ -303,8 +320,8 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     Words are runs of characters other than white space, A-Z as a-z. Null texts and texts without words have no
     shingles, link with nothing and are components of their own. Rows without an id get their n_shingles and no
-    component, and link nothing. Rows that share an id are one node: links of any of them connect it. Repeated
-    rows are linked like other equal texts. An empty table gives an empty result; other columns are not read.
+    component, and link nothing. Rows that share an id are one node: links of any of them connect it, and all of them
+    get its component; inside, each of its sets is compared on its own. Repeated rows are linked like other equal texts. An empty table gives an empty result; other columns are not read.
 
     Only ``COUNTERS`` counts reach the driver and are broadcast, however large the table.
     """
@@ -318,28 +335,91 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
         counts[row["key"]] = row["n"]
     order = spark.sparkContext.broadcast(counts)
     each = first.filter("kind = 0").select(F.col("key").alias("doc_id"), "n", "sig_a", "sig_b")
+    key = ["n", "sig_a", "sig_b"]
+    # Ids of rows with different sets do not tell which set is meant, so none of them stands for a set.
+    torn = stored(
+        each.filter("doc_id IS NOT NULL")
+        .groupBy("doc_id")
+        .agg(F.min(F.struct(*key)).alias("low"), F.max(F.struct(*key)).alias("high"))
+        .filter("low != high")
+        .select("doc_id"),
+        "torn",
+    )
+    many = torn.count()
+    marked = each.filter("n > 0")
+    if many:
+        flags = sent_if_small(torn.select("doc_id", F.lit(True).alias("torn")), many, 24)
+        marked = marked.join(flags, "doc_id", "left").withColumn("whole_id", F.expr("if(torn, null, doc_id)"))
+    else:
+        marked = marked.withColumn("whole_id", F.col("doc_id"))
     sets = stored(
-        each.filter("n > 0").groupBy("n", "sig_a", "sig_b").agg(F.min("doc_id").alias("node"), F.count("*").alias("rows")),
+        marked.groupBy(*key)
+        .agg(F.min("whole_id").alias("own"), F.min("doc_id").alias("least_id"), F.count("*").alias("rows"))
+        .select(
+            *key,
+            # Sets of such ids only are named by a hash.
+            F.when(F.col("least_id").isNotNull(), F.coalesce("own", F.xxhash64(*key))).alias("node"),
+            "own",
+            "least_id",
+            "rows",
+        ),
         "nodes",
     )
     # Copies of a set are left out before their texts are cut again.
     copies = stored(
         each.filter("n > 0 AND doc_id IS NOT NULL")
-        .join(sets.filter("rows > 1").select("n", "sig_a", "sig_b", "node"), ["n", "sig_a", "sig_b"])
-        .filter("doc_id > node")
-        .select("doc_id"),
+        .join(sets.filter("rows > 1 AND own IS NOT NULL").select(*key, "own"), key)
+        .filter("doc_id > own")
+        .select("doc_id")
+        .unionByName(torn),
         "copies",
     )
-    alone = rows.filter("doc_id IS NOT NULL").join(sent_if_small(copies, copies.count(), 24), "doc_id", "left_anti")
-    join = _Join(alone.select(F.col("doc_id").alias("node"), "text"))
+    known = rows.filter("doc_id IS NOT NULL")
+    alone = known.join(sent_if_small(copies, copies.count(), 24), "doc_id", "left_anti")
+    texts = alone.select(F.col("doc_id").alias("node"), "text")
+    if many:
+        parts = known.join(sent_if_small(torn, many, 24), "doc_id", "left_semi")
+        parts = stored(
+            parts.mapInArrow(_with_signatures, "n long, sig_a long, sig_b long, text string"), "torn-texts", TEXT_BATCH
+        )
+        unnamed = sets.filter("own IS NULL AND node IS NOT NULL").select(*key, "node")
+        texts = texts.unionByName(
+            stored(parts.join(unnamed, key).groupBy("node").agg(F.min("text").alias("text")), "torn-sets")
+        )
+    join = _Join(texts)
+    if many:
+        held = each.filter("n > 0").join(sent_if_small(torn, many, 24), "doc_id", "left_semi")
+        held = stored(held.join(sets.select(*key, "node"), key).select("doc_id", "node").distinct(), "torn-nodes")
+        hub = held.groupBy("doc_id").agg(F.min("node").alias("a"))
+        join.links.append(
+            stored(held.join(hub, "doc_id").filter("a < node").select("a", F.col("node").alias("b")), "links")
+        )
     join.prepare(order)
     groups = join.run()
     component = sets.join(groups, "node", "left").select(
-        "n", "sig_a", "sig_b", F.coalesce("component", "node").alias("component_id")
+        *key, "node", "least_id", F.coalesce("component", "node").alias("component_id")
+    )
+    own = F.coalesce("component_id", "doc_id")
+    if many:
+        # A group is named by its smallest doc_id, which need not be the name of a set here.
+        component = stored(component, "torn-components")
+        names = component.groupBy("component_id").agg(F.min("least_id").alias("name")).filter("name != component_id")
+        names = stored(names, "names")
+        component = stored(
+            component.join(sent_if_small(names, names.count(), 24), "component_id", "left").select(
+                *key, "node", F.coalesce("name", "component_id").alias("component_id")
+            ),
+            "named",
+        )
+        # Rows of such an id that have no shingles get the component of the others.
+        of_id = held.join(component.select("node", "component_id"), "node").groupBy("doc_id")
+        of_id = stored(of_id.agg(F.min("component_id").alias("shared_component")), "torn-groups")
+        each = each.join(sent_if_small(of_id, many, 24), "doc_id", "left")
+        own = F.coalesce("shared_component", "component_id", "doc_id")
+    found = each.join(component.select(*key, "component_id"), key, "left")
+    return found.select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), own).alias("component_id")
     )
-    found = each.join(component, ["n", "sig_a", "sig_b"], "left")
-    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return found.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
