@@ -27,6 +27,7 @@ MIN_DOCUMENTS = 3
 SCALE = 1_000_000_000
 TOP = 200
 BLOCK_BYTES = 4 << 20  # bytes of a transducer's terms, beyond which it takes no more
+_CELLS = 1 << 18  # shares that are compared at a time
 _TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
 
 
@@ -127,30 +128,52 @@ class _Vocabulary:
         return None
 
 
-def _recounted(vocabulary, limit: int):
-    """lang, source, number of a term and how often it occurs here."""
+def _recounted(vocabulary, numbers, limit: int):
+    """Number of a group, number of a term and how often it occurs there."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[pa.RecordBatch]:
-            for (lang, source), counts in held.items():
-                number = vocabulary.value.ordinals(lang, list(counts))
-                n = np.fromiter(counts.values(), np.int64, len(counts))[number >= 0]
-                number = number[number >= 0]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(n), pa.string()), pa.array([source] * len(n), pa.string()), pa.array(number), pa.array(n)],
-                    names=["lang", "source", "term", "n"],
-                )
-
-        held: dict[tuple[str, str], Counter] = {}
+        held: dict[str, dict[str, Counter]] = {}
+        keys: list[np.ndarray] = []  # rows of group, term and count
+        waiting = 0
+
+        def look_up() -> None:
+            nonlocal waiting
+            for lang, sources in held.items():
+                terms = list(set().union(*sources.values()))
+                number_of = dict(zip(terms, vocabulary.value.ordinals(lang, terms).tolist()))
+                for source, counts in sources.items():
+                    rows = np.empty((3, len(counts)), np.int64)
+                    rows[0] = numbers.value[lang, source]
+                    rows[1] = np.fromiter(map(number_of.__getitem__, counts), np.int64, len(counts))
+                    rows[2] = np.fromiter(counts.values(), np.int64, len(counts))
+                    keys.append(rows[:, rows[1] >= 0])
+                    waiting += keys[-1].shape[1]
+            held.clear()
+
+        def rows() -> pa.RecordBatch:
+            nonlocal waiting
+            group, term, n = np.concatenate([np.zeros((3, 0), np.int64), *keys], axis=1)
+            order = np.lexsort([term, group])
+            group, term, n = group[order], term[order], n[order]
+            first = np.ones(len(n), bool)
+            first[1:] = (group[1:] != group[:-1]) | (term[1:] != term[:-1])
+            at = np.flatnonzero(first)
+            keys.clear()
+            waiting = 0
+            columns = [group[at], term[at], np.add.reduceat(n, at) if len(at) else n]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["g", "term", "n"])
+
         for batch in batches:
             columns = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.large_binary()).to_pylist()
             for lang, source, text in zip(*columns):
                 if lang in vocabulary.value.of:
-                    held.setdefault((lang, source), Counter()).update(_terms(text))
-            if sum(map(len, held.values())) >= limit:
-                yield from rows()
-                held = {}
-        yield from rows()
+                    held.setdefault(lang, {}).setdefault(source, Counter()).update(_terms(text))
+            if sum(len(c) for sources in held.values() for c in sources.values()) >= limit:
+                look_up()
+                if waiting >= 8 * limit:
+                    yield rows()
+        look_up()
+        yield rows()
 
     return count
 
@@ -160,29 +183,39 @@ def _pair_sums(at_zero, source_block: int):
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[pa.RecordBatch]:
-            first = block * source_block
+            b = np.arange(sums.shape[1])
             for i in range(len(sums)):
-                a = np.full(sums.shape[1], first + i)
-                b = np.arange(sums.shape[1])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(b), pa.string()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sums[i])],
-                    names=["lang", "a", "b", "value"],
-                )
-
-        lang = block = sums = None
+                columns = [np.full(len(b), lang), np.full(len(b), low + i), b, sums[i]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["l", "a", "b", "value"])
+
+        lang = block = sums = low = None
         for batch in batches:
-            for own, part, counts in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if (own, part) != (lang, block):
+            langs, blocks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            lists = batch.column(2)
+            ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            flat = lists.flatten()
+            source, share = flat.field("s").to_numpy(), flat.field("p").to_numpy()
+            cuts = np.flatnonzero((np.diff(langs) != 0) | (np.diff(blocks) != 0)) + 1
+            for first, last in zip([0, *cuts.tolist()], [*cuts.tolist(), len(langs)]):
+                if first == last:
+                    continue
+                if (langs[first], blocks[first]) != (lang, block):
                     if sums is not None:
                         yield from rows()
-                    lang, block = own, part
+                    lang, block = langs[first], blocks[first]
                     zero = at_zero.value[lang]
                     low, high = block * source_block, min((block + 1) * source_block, len(zero))
                     sums = np.zeros((high - low, len(zero)), np.int64)
-                p = zero.copy()
-                p[[c["s"] for c in counts]] = [c["p"] for c in counts]
-                gap = p[low:high, None] - p[None, :]
-                sums += gap * gap // p[None, :]
+                # Some terms at a time, as rows of shares of all sources.
+                step = max(1, _CELLS // len(zero))
+                for i in range(first, last, step):
+                    j = min(last, i + step)
+                    p = np.repeat(zero[None, :], j - i, axis=0)
+                    own = slice(ends[i], ends[j])
+                    p[np.repeat(np.arange(j - i), np.diff(ends[i : j + 1])), source[own]] = share[own]
+                    for k in range(low, high):
+                        gap = p[:, k : k + 1] - p
+                        sums[k - low] += (gap * gap // p).sum(axis=0)
         if sums is not None:
             yield from rows()
 
@@ -242,74 +275,77 @@ def source_divergence(docs: DataFrame, min_docs: int = MIN_DOCUMENTS, top: int =
         found = [r.asDict() for r in blocks.join(wanted, ["lang", "low"]).collect()]
         return spark.sparkContext.broadcast(_Vocabulary(sorted(found, key=lambda b: (b["lang"].encode(), b["base"]))))
 
-    counts = None
+    # Numbers of languages, of groups and of the sources of a language.
+    named = sorted((r["lang"], r["source"]) for r in rows.select("lang", "source").distinct().toLocalIterator())
+    langs = sorted({lang for lang, _ in named})
+    sources = Counter(lang for lang, _ in named)
+    place = Counter()
+    entries = []
+    for g, (lang, source) in enumerate(named):
+        entries.append((g, langs.index(lang), place[lang], lang, source, total.get(lang, 0)))
+        place[lang] += 1
+    listed = "g long, l long, s long, lang string, source string, v long"
+    groups = stored(spark.createDataFrame(entries, listed), "groups")
+    numbers = spark.sparkContext.broadcast({pair: g for g, pair in enumerate(named)})
+
+    counts = spark.createDataFrame([], "g long, term long, n long")
     for part in groups_of:
-        some = rows.mapInArrow(_recounted(vocabulary(part), sizes.held), "lang string, source string, term long, n long")
-        some = some.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
-        some = stored(some, "recounted")
-        counts = some if counts is None else counts.unionByName(some)
-    if counts is None:
-        counts = spark.createDataFrame([], "lang string, source string, term long, n long")
-
-    # Groups with N + V, and a number for each source of a language.
-    size_of = spark.createDataFrame(sorted(total.items()), "lang string, v long")
-    groups = rows.select("lang", "source").distinct().join(F.broadcast(size_of), "lang", "left").fillna(0, ["v"])
-    sums = counts.groupBy("lang", "source").agg(F.sum("n").alias("own"))
-    groups = groups.join(sums, ["lang", "source"], "left").fillna(0, ["own"])
-    by_source = Window.partitionBy("lang").orderBy("source")
-    groups = groups.select(
-        "lang",
-        "source",
-        (F.row_number().over(by_source) - 1).cast("long").alias("s"),
-        (F.col("own") + F.col("v")).alias("mass"),
-        (F.sum("own").over(Window.partitionBy("lang")) + F.col("v")).alias("lang_mass"),
-        F.col("v").cast("long").alias("v"),
+        some = rows.mapInArrow(_recounted(vocabulary(part), numbers, sizes.held), "g long, term long, n long")
+        counts = counts.unionByName(stored(some.groupBy("g", "term").agg(F.sum("n").alias("n")), "recounted"))
+
+    # N + V of every group and of its language.
+    sums = counts.groupBy("g").agg(F.sum("n").alias("own"))
+    own = F.coalesce("own", F.lit(0).cast("long"))
+    groups = groups.join(sums, "g", "left").select(
+        *groups.columns,
+        (own + F.col("v")).alias("mass"),
+        (F.sum(own).over(Window.partitionBy("l")) + F.col("v")).alias("lang_mass"),
     )
-    groups = stored(groups, "groups")
-    zero: dict[str, list[int]] = {}
-    known = groups.filter("v > 0").select("lang", "s", _share(F.lit(0), F.col("mass")).alias("p")).orderBy("lang", "s")
+    groups = stored(groups, "masses")
+    known = groups.filter("v > 0").select("l", "s", _share(F.lit(0), F.col("mass")).alias("p")).orderBy("l", "s")
+    zero: dict[int, list[int]] = {}
     for g in known.toLocalIterator():
-        zero.setdefault(g["lang"], []).append(g["p"])
-    at_zero = spark.sparkContext.broadcast({lang: np.array(p, np.int64) for lang, p in zero.items()})
+        zero.setdefault(g["l"], []).append(g["p"])
+    at_zero = spark.sparkContext.broadcast({l: np.array(p, np.int64) for l, p in zero.items()})
 
-    shares = counts.join(groups, ["lang", "source"]).withColumn("p", _share(F.col("n"), F.col("mass")))
-    of_term = shares.groupBy("lang", "term").agg(
+    few = sent_if_small(groups, len(named), 80)
+    shares = counts.join(few.select("g", "l", "s", "mass", "lang_mass"), "g")
+    shares = shares.withColumn("p", _share(F.col("n"), F.col("mass")))
+    of_term = shares.groupBy("l", "term").agg(
         F.sum("n").alias("lang_n"),
         F.max("lang_mass").alias("lang_mass"),
-        F.collect_list(F.struct("s", "source", "p")).alias("counts"),  # as many as the language has sources
+        F.collect_list(F.struct("s", "p")).alias("counts"),  # as many as the language has sources
     )
     of_term = stored(of_term, "terms")
 
-    parts = spark.createDataFrame([(lang, len(p)) for lang, p in zero.items()], "lang string, sources long")
-    blocks_of = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("sources") - 1) / sizes.source_block)))
-    # The terms of a language and a block of its sources lie in as many tasks as there are.
-    slices = F.pmod(F.xxhash64("term"), F.lit(1024))
+    blocks_of = [(langs.index(l), k) for l, n in sources.items() for k in range(-(-n // sizes.source_block))]
+    blocks_of = spark.createDataFrame(blocks_of, "l long, block long")
     dealt = (
-        of_term.join(F.broadcast(parts), "lang")
-        .select("lang", blocks_of.alias("block"), "counts", slices.alias("slice"))
-        .repartition("lang", "block", "slice")
-        .sortWithinPartitions("lang", "block")
-        .select("lang", "block", F.transform("counts", lambda c: F.struct(c["s"].alias("s"), c["p"].alias("p"))).alias("counts"))
+        of_term.join(sent_if_small(blocks_of, len(named), 16), "l")
+        # The terms of a language and a block of its sources lie in as many tasks as there are.
+        .repartition("l", "block", F.pmod(F.xxhash64("term"), F.lit(1024)))
+        .sortWithinPartitions("l", "block")
+        .select("l", "block", "counts")
     )
-    against = dealt.mapInArrow(_pair_sums(at_zero, sizes.source_block), "lang string, a long, b long, value long")
-    against = against.groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
-    one = groups.select("lang", "source", F.col("s").alias("a"))
-    other = groups.select("lang", F.col("source").alias("item"), F.col("s").alias("b"))
-    pairs = one.join(other, "lang").filter("a != b").join(against, ["lang", "a", "b"], "left")
-    order = [F.desc("value"), F.asc("item")]
-    pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", F.coalesce("value", F.lit(0)).cast("long").alias("value"))
-    pairs = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "source").orderBy(*order)))
-
-    ahead = of_term.withColumn("q", _share(F.col("lang_n"), F.col("lang_mass"))).select("lang", "term", "q", F.inline("counts"))
-    ahead = ahead.filter("p > q").select("lang", "source", "term", _gap(F.col("p"), F.col("q")).alias("value"))
-    by_value = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "term")
+    against = dealt.mapInArrow(_pair_sums(at_zero, sizes.source_block), "l long, a long, b long, value long")
+    against = against.groupBy("l", "a", "b").agg(F.sum("value").alias("value"))
+    one = groups.select("l", "lang", "source", F.col("s").alias("a"))
+    other = groups.select("l", F.col("source").alias("item"), F.col("s").alias("b"))
+    pairs = one.join(other, "l").filter("a != b").join(against, ["l", "a", "b"], "left")
+    pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", F.coalesce("value", F.lit(0).cast("long")).alias("value"))
+    order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), F.asc("item"))
+    pairs = pairs.withColumn("rank", F.row_number().over(order))
+
+    ahead = of_term.withColumn("q", _share(F.col("lang_n"), F.col("lang_mass"))).select("l", "term", "q", F.inline("counts"))
+    ahead = ahead.filter("p > q").select("l", "s", "term", _gap(F.col("p"), F.col("q")).alias("value"))
     # Partitions keep their first ranks before rows move.
-    ahead = stored(ahead.withColumn("rank", F.row_number().over(by_value)).filter(F.col("rank") <= top), "ahead")
-    named = None
+    by_value = Window.partitionBy("l", "s").orderBy(F.desc("value"), "term")
+    ahead = ahead.withColumn("rank", F.row_number().over(by_value)).filter(F.col("rank") <= top)
+    ahead = stored(ahead.join(few.select("l", "s", "lang", "source"), ["l", "s"]).select("lang", "source", "term", "value", "rank"), "ahead")
     for part in groups_of:
-        some = ahead.mapInArrow(_spelled(vocabulary(part)), "lang string, source string, part string, item string, value long, rank int")
-        named = some if named is None else named.unionByName(some)
-    return pairs if named is None else pairs.unionByName(named)
+        spelled = "lang string, source string, part string, item string, value long, rank int"
+        pairs = pairs.unionByName(ahead.mapInArrow(_spelled(vocabulary(part)), spelled))
+    return pairs
 
 
 def _spelled(vocabulary):
