@@ -65,6 +65,29 @@ def test_chains_and_wide_groups(spark, monkeypatch, leaders, tmp_path):
     assert found(spark.read.parquet(path)) == brute(rows)
 
 
+def test_pairs_grow_with_the_group_not_with_its_square(spark, monkeypatch, tmp_path):
+    """Near copies of a text with two to four edits each: most pairs of them are just below the limit."""
+    compared = []
+    monkeypatch.setattr(
+        jaccard._Join, "verify", lambda self, pairs, own=jaccard._Join.verify: (compared.append(pairs.count()), own(self, pairs))
+    )
+    totals = {}
+    for size in (200, 800):
+        rng = random.Random(size)
+        base, rows = words_of(rng, 200).split(), []
+        for i in range(size):
+            v = list(base)
+            for k in rng.sample(range(200), rng.randint(2, 4)):
+                v[k] = f"e{i}x{k}"
+            rows.append((i, " ".join(v)))
+        path = str(tmp_path / f"{size}.parquet")
+        spark.createDataFrame([row(*r) for r in rows], SCHEMA).repartition(4).write.parquet(path)
+        compared.clear()
+        assert found(spark.read.parquet(path)) == brute(rows)
+        totals[size] = sum(compared)
+    assert totals[800] < 6 * totals[200]
+
+
 def test_ids_with_different_texts_are_one_node(spark, tmp_path):
     rng = random.Random(12)
     a, b, c, d, e, f, g, h, i, j = (words_of(rng, 100) for _ in range(10))

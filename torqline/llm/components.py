@@ -12,6 +12,8 @@ def _starred(edges: DataFrame, large: bool) -> DataFrame:
     """Edges (u > v) after one star operation: neighbours hang on the smallest node around them."""
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    # Written, so that both sides of the join are plain shuffles and the edges of a hub can be split over tasks.
+    least = stored(least, "least")
     joined = both.join(least, "u")
     if large:
         moved = joined.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

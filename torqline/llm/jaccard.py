@@ -4,8 +4,8 @@ A document is its set of distinct shingles (five words; fewer words are one shin
 rarest first: by counts over all documents in a table of hashed counters, ties by hash; shingles that then turn out to lie
 in many prefixes go to the end by their exact counts. Two sets similar enough share a
 shingle in their prefixes, so only prefixes are joined. Candidates must pass the length filter, the positional filter
-(what can still be shared behind the common shingle) and the suffix filter (shares of hash ranges, which bound the
-overlap); each pair that is left is verified once, on whole sets.
+(what can still be shared behind the common shingle) and the suffix filter (parities and counts of hash ranges, which
+bound the overlap); each pair that is left is verified once, on whole sets.
 
 Only what decides the groups is compared. Documents with equal sets are one node. Where many documents share a
 prefix shingle they are held against one leader first; later comparisons are made only between documents that are not
@@ -16,6 +16,7 @@ pass compares every remaining pair that the filters leave, so no link between tw
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,7 @@ SHINGLE = 5
 PERCENT = 80  # similarity of a link
 COUNTERS = 1 << 16  # hashed shingle counts; they set the order only, any counts give the same links
 RANGES = 128  # hash ranges of the suffix filter
+PARITY = 16  # 64-bit numbers of the parity filter
 LEADER_ROUNDS = 3
 # Members of its main group, and others, that those outside it are held against in later rounds, where a shingle has
 # four times as many outside.
@@ -129,7 +131,9 @@ def _prefixes(counts, frequent=None):
                 order = np.lexsort(keys)
                 prefix = shingles[order[: n - -(-PERCENT * n // 100) + 1]]
                 ranges = np.bincount((shingles >> np.uint64(64 - RANGES.bit_length() + 1)).astype(np.int64), minlength=RANGES)
-                rows.append((ids[d], n, _signed(prefix), ranges.astype(np.int32)))
+                odd = np.bincount((shingles % np.uint64(64 * PARITY)).astype(np.int64), minlength=64 * PARITY) & 1
+                odd = np.packbits(odd.astype(np.uint8)).view(np.int64)
+                rows.append((ids[d], n, _signed(prefix), ranges.astype(np.int32), odd))
                 if len(rows) == 2048:
                     yield _prefix_batch(rows)
                     rows = []
@@ -139,15 +143,16 @@ def _prefixes(counts, frequent=None):
 
 
 def _prefix_batch(rows: list[tuple]) -> pa.RecordBatch:
-    ids, n, prefix, ranges = zip(*rows) if rows else ((), (), (), ())
+    ids, n, prefix, ranges, odd = zip(*rows) if rows else ((), (), (), (), ())
     return pa.RecordBatch.from_arrays(
         [
             pa.array(ids, pa.int64()),
             pa.array(n, pa.int64()),
             pa.array(prefix, pa.list_(pa.int64())),
             pa.array(ranges, pa.list_(pa.int32())),
+            pa.array(odd, pa.list_(pa.int64())),
         ],
-        names=["node", "n", "prefix", "ranges"],
+        names=["node", "n", "prefix", "ranges", "odd"],
     )
 
 
@@ -175,11 +180,18 @@ class _Join:
         self.known: list[DataFrame] = []  # node, shingles of the documents compared so far
 
     def prepare(self, counts) -> None:
-        schema = "node long, n long, prefix array<long>, ranges array<int>"
+        schema = "node long, n long, prefix array<long>, ranges array<int>, odd array<long>"
         nodes = stored(self.docs.mapInArrow(_prefixes(counts), schema), "prefixes", TEXT_BATCH)
         prefix = nodes.select("node", F.explode("prefix").alias("shingle"))
-        often = prefix.groupBy("shingle").count().filter(F.col("count") > FREQUENT)
-        often = stored(often.orderBy(F.desc("count"), "shingle").limit(FREQUENT_LIMIT), "frequent")
+        often = stored(prefix.groupBy("shingle").count().filter(F.col("count") > FREQUENT), "frequent")
+        # How many have each count: the highest counts that are FREQUENT_LIMIT shingles at most.
+        room, least = FREQUENT_LIMIT, FREQUENT
+        for row in often.groupBy("count").agg(F.count("*").alias("shingles")).orderBy(F.desc("count")).toLocalIterator():
+            room -= row["shingles"]
+            if room < 0:
+                least = row["count"]
+                break
+        often = often.filter(F.col("count") > least)
         found = often.toPandas()  # FREQUENT_LIMIT rows of two numbers at most
         if len(found):
             shingles = found["shingle"].to_numpy().view(np.uint64)
@@ -255,13 +267,21 @@ class _Join:
         """Pairs of ``left`` and ``right`` with a common prefix shingle, of different groups, that pass the first filters.
 
         If every common prefix shingle of a pair is met here (``complete``, with ``out`` flags on both sides, so that each is
-        met once), what they share is at most these shingles and what lies behind the last of them.
+        met once), what they share is at most these shingles and what lies behind the last of them. The rows then carry
+        the parities of their sets, too: sets that differ in d shingles differ in d parities at most, and in nearly as
+        many while sets are small, so few pairs but those that are links leave the join.
         """
-        columns = ["node", "n", "pos", "group", *(["out"] if complete else [])]
+        columns = ["node", "n", "pos", "group", *(["out", "odd"] if complete else [])]
         one = left.select("shingle", *[F.col(c).alias(f"{c}_x") for c in columns])
         two = right.select("shingle", *[F.col(c).alias(f"{c}_y") for c in columns])
         behind = F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y"))
-        once = ~F.col("out_y") | (F.col("node_x") < F.col("node_y")) if complete else F.lit(True)
+        once = F.lit(True)
+        if complete:
+            once = ~F.col("out_y") | (F.col("node_x") < F.col("node_y"))
+            apart = [F.bit_count(F.col("odd_x")[k].bitwiseXOR(F.col("odd_y")[k])) for k in range(PARITY)]
+            differ = reduce(lambda x, y: x + y, apart)
+            # shared = (n_x + n_y - differ) / 2 at most
+            once &= (100 + PERCENT) * (F.col("n_x") + F.col("n_y") - differ) >= 2 * PERCENT * (F.col("n_x") + F.col("n_y"))
         kept = one.join(
             two,
             (one["shingle"] == two["shingle"])
@@ -310,8 +330,9 @@ class _Join:
         rows = stored(self.labelled(), "remaining")
         # Every pair of different groups has a side outside the largest group of its shingle.
         inside, others = self.outside(rows)
-        others = others.withColumn("out", F.lit(True))
-        self.verify(self.pairs(others, others.unionByName(inside.withColumn("out", F.lit(False))), complete=True))
+        rows = others.withColumn("out", F.lit(True)).unionByName(inside.withColumn("out", F.lit(False)))
+        rows = rows.join(self.nodes.select("node", "odd"), "node")
+        self.verify(self.pairs(rows.filter("out"), rows, complete=True))
         return self.groups()
 
 
