@@ -96,6 +96,5 @@ ALERT_LOW = 0.50
 HISTOGRAM_BINS = 20
 # Rows one range of the prefix-sum helper should hold.
 ROWS_PER_RANGE = 100_000
-# Quantiles taken per level when ranges are cut, and the share of keys (one in ..) they are taken from.
+# Ranges made at most beyond one for each shuffle partition.
 RANGE_GRID = 1024
-RANGE_SAMPLE = 16

@@ -6,6 +6,7 @@ every statistic of every feature then comes from one aggregate over those counts
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from torqline import config as C
 from torqline.functions.stats import chi2_p, kolmogorov_p, normal_two_sided_p
-from torqline.operators.prefix import finite, range_cuts, running_sums, with_range
+from torqline.operators.prefix import finite, last_before, range_cuts, running_sums, with_ranges, written
 
 KS, CHI2, Z_TEST = "K-S p_value", "chi-square p_value", "Z-test p_value"
 WASSERSTEIN, JENSEN_SHANNON = "Wasserstein distance (normed)", "Jensen-Shannon distance"
@@ -37,9 +38,7 @@ def numeric_counts(
     NaN and the infinities count as missing.
     """
     by = by or []
-    ranged = pair
-    for name in columns:
-        ranged = with_range(ranged, name, cuts[name], f"__range_{name}")
+    ranged = with_ranges(pair, {name: cuts[name] for name in columns}, {name: f"__range_{name}" for name in columns})
     # Numbers instead of names while rows are many: shorter keys to hash and to shuffle.
     cells = [
         F.struct(
@@ -257,18 +256,18 @@ def drift_by_window(
         category_counts(one_side(current, categorical, False, window), categorical, [window]),
         window,
         cuts,
+        categorical,
+        current,
     )
 
 
 def value_range(counts: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
     """Adds ``range``, the place of ``value`` among the cuts of its feature."""
-    ranged, names = counts, []
-    for number, (name, own) in enumerate(cuts.items()):
-        value, place = f"__value_{number}", f"__place_{number}"
-        ranged = ranged.withColumn(value, F.when(F.col("feature") == name, F.col("value")))
-        ranged = with_range(ranged, value, own, place).drop(value)
-        names.append(F.when(F.col("feature") == name, F.col(place)))
-    return ranged.select("*", F.coalesce(*names, F.lit(0)).alias("range")).drop(*[f"__place_{n}" for n in range(len(cuts))])
+    values = {f"__value_{n}": F.when(F.col("feature") == name, F.col("value")) for n, name in enumerate(cuts)}
+    places = {f"__value_{n}": f"__place_{n}" for n in range(len(cuts))}
+    ranged = with_ranges(counts.withColumns(values), dict(zip(values, cuts.values())), places)
+    own = [F.when(F.col("feature") == name, F.col(f"__place_{n}")) for n, name in enumerate(cuts)]
+    return ranged.select(*counts.columns, F.coalesce(*own, F.lit(0)).alias("range"))
 
 
 def one_side(df: DataFrame, columns: list[str], ref: bool, *extra: str) -> DataFrame:
@@ -276,6 +275,152 @@ def one_side(df: DataFrame, columns: list[str], ref: bool, *extra: str) -> DataF
     return df.select(*columns, *extra, flag.alias("is_ref"), (1 - flag).alias("is_cur"))
 
 
+def reference_index(counts: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
+    """The empirical distribution of every feature of a reference, with prefix integrals, one row per distinct value.
+
+    ``below`` is the share of the reference up to ``value`` and ``before`` that below it; ``moment`` sums value times
+    share up to it, so that the integral of the distribution function up to any x whose last entry this is is
+    ``below * x - moment``. ``total`` counts the feature's rows. Ranges are those of ``cuts``.
+    """
+    ranged = value_range(counts.select("feature", "value", "n_ref"), cuts).withColumn("part", F.col("value") * F.col("n_ref"))
+    sums = running_sums(ranged, "value", {"cum": "n_ref", "partial": "part"}, "range", by=["feature"])
+    total = F.col("total_cum")
+    return sums.select(
+        "feature",
+        "range",
+        "value",
+        F.col("value").alias("at"),
+        F.col("n_ref").alias("here"),
+        ((F.col("cum") - F.col("n_ref")) / total).alias("before"),
+        (F.col("cum") / total).alias("below"),
+        (F.col("partial") / total).alias("moment"),
+        total.alias("total"),
+    )
+
+
+def _index_totals(index: DataFrame) -> DataFrame:
+    """One row per feature: size, distinct values, spread and the largest value with its share."""
+    share = F.col("here") / F.col("total")
+    mean = index.groupBy("feature").agg(F.sum(F.col("at") * share).alias("mean"))
+    off = F.col("at") - F.col("mean")
+    return (
+        index.join(F.broadcast(mean), "feature")
+        .groupBy("feature")
+        .agg(
+            F.sum("here").alias("total_ref"),
+            F.count(F.lit(1)).alias("values_ref"),
+            F.sqrt(F.sum(off * off * share)).alias("std_ref"),
+            F.max("at").alias("top_ref"),
+            F.max_by(share, F.col("at")).alias("p_top"),
+        )
+    )
+
+
+def _seen(once: Column) -> dict[str, Column]:
+    """What the values that a window has contribute; ``once`` marks one row of each."""
+    total_ref, total_cur = F.col("total_ref"), F.col("total_cur")
+    p, q = F.col("n_ref") / F.nullif(total_ref, F.lit(0)), F.col("n_cur") / F.nullif(total_cur, F.lit(0))
+    top = F.struct(F.col("order_key").alias("key"), p.alias("p"), q.alias("q"))
+    return {
+        "js_seen": F.sum(F.when(once, _share_terms(p, q))),
+        "chi2_seen": F.sum(F.when(once, _chi2_terms(F.col("n_ref"), F.col("n_cur"), total_ref, total_cur))),
+        "met": F.sum(F.when(once, F.col("n_ref"))),
+        "fresh": F.sum(F.when(once & (F.col("n_ref") == 0), 1)),
+        "n_cur": F.sum(F.when(once, F.col("n_cur"))),
+        "top": F.max(F.when(once, top)),
+    }
+
+
+def _with_unseen(seen: DataFrame, windows: DataFrame, window: str, totals: DataFrame, features: list[str]) -> DataFrame:
+    """Statistics of every window and feature: what was seen, and the rest of the reference in closed form."""
+    every = windows.select(window, F.explode(F.array(*[F.lit(name) for name in features])).alias("feature"))
+    rows = every.join(F.broadcast(totals), "feature", "left").join(seen, [window, "feature"], "left")
+    zero = F.lit(0).cast("long")
+    total, n_cur = F.coalesce("total_ref", zero), F.coalesce("n_cur", zero)
+    # Reference rows whose values the window never shows: each adds the same per row.
+    unmet = (total - F.coalesce("met", zero)) / F.nullif(total, F.lit(0))
+    alone = F.col("top").isNull() | (F.col("top_ref") > F.col("top.key"))
+    return rows.withColumns(
+        {
+            "js": F.sqrt(F.greatest(F.coalesce("js_seen", F.lit(0.0)) + F.coalesce(unmet, F.lit(0.0)) * (math.log(2) / 2), F.lit(0.0))),
+            "chi2": F.coalesce("chi2_seen", F.lit(0.0)) + n_cur * unmet,
+            "n_values": F.coalesce("values_ref", zero) + F.coalesce("fresh", zero),
+            "n_ref": total,
+            "n_cur": n_cur,
+            "p_ref": F.when(alone, F.col("p_top")).otherwise(F.col("top.p")),
+            "p_cur": F.when(alone, F.lit(0.0)).otherwise(F.col("top.q")),
+        }
+    ).drop("total_ref", "values_ref", "top_ref", "p_top", "js_seen", "chi2_seen", "met", "fresh", "top")
+
+
+def _window_numbers(
+    index: DataFrame, totals: DataFrame, current: DataFrame, window: str, cuts: dict[str, list[float]]
+) -> DataFrame:
+    """Per window and feature, from its own values: what ``_seen`` counts, the largest gap and the area between the curves.
+
+    Between two values of a window its share c is constant, and the reference's F crosses it at most once, at x(c). With
+    S(v, c) the area between F and c from x(c) to v, negative before x(c), the area between the curves is the sum over
+    the values v of S(v, c before v) - S(v, c). So a value needs F up to v, from the index by value, and the crossings of
+    two shares, from the index by share.
+    """
+    by = [window, "feature"]
+    counts = current.groupBy(*by, "value").agg(F.sum("n_cur").alias("n_cur"))
+    own = running_sums(value_range(counts, cuts), "value", {"cum": "n_cur"}, "range", by=by)
+    own = own.select(*by, "range", "value", "n_cur", "cum", F.col("total_cum").alias("total_cur"))
+    parts = 1 + max(map(len, cuts.values()), default=0)
+    entry = ["at", "here", "before", "below", "moment"]
+    found = last_before(index, own, ["feature"], "value", "range", entry, (-1, parts - 1))
+    met = F.coalesce(F.col("at") == F.col("value"), F.lit(False))
+    zero = F.lit(0.0)
+    found = found.join(F.broadcast(totals.select("feature", "total_ref")), "feature", "left").select(
+        *by,
+        "value",
+        "n_cur",
+        "total_cur",
+        "total_ref",
+        F.when(met, F.col("here")).otherwise(F.lit(0).cast("long")).alias("n_ref"),
+        ((F.col("cum") - F.col("n_cur")) / F.col("total_cur")).alias("c_before"),
+        (F.col("cum") / F.col("total_cur")).alias("c"),
+        F.coalesce(F.when(met, F.col("before")).otherwise(F.col("below")), zero).alias("f_before"),
+        F.coalesce("below", zero).alias("f"),
+        F.coalesce(F.col("below") * F.col("value") - F.col("moment"), zero).alias("area"),
+    )
+    sides = F.array(
+        F.struct(F.lit(True).alias("once"), F.col("c_before").alias("share")),
+        F.struct(F.lit(False).alias("once"), F.col("c").alias("share")),
+    )
+    # The first entry whose share reaches c is the last one at or before -c on the axis turned round.
+    turned = lambda share: {"axis": -share, "part": F.floor(-share * parts).cast("int")}
+    events = found.select("*", F.inline(sides)).withColumns(turned(F.col("share")))
+    by_share = index.withColumns(turned(F.col("below"))).select(
+        "feature", "axis", "part", F.col("at").alias("x"), F.col("below").alias("f_x"), F.col("moment").alias("m_x")
+    )
+    crossed = last_before(by_share, events, ["feature"], "axis", "part", ["x", "f_x", "m_x"], (-parts, 0))
+    value, x, share = F.col("value"), F.col("x"), F.col("share")
+    inner = share * (x - value) - (F.col("f_x") * x - F.col("m_x") - F.col("area"))
+    area = F.when(value >= x, inner).otherwise(-inner)
+    gap = F.greatest(F.abs(F.col("f") - F.col("c")), F.abs(F.col("f_before") - F.col("c_before")))
+    return (
+        crossed.withColumn("order_key", value)
+        .groupBy(*by)
+        .agg(
+            F.max(gap).alias("ks"),
+            F.sum(F.when(F.col("once"), area).otherwise(-area)).alias("distance"),
+            *[column.alias(name) for name, column in _seen(F.col("once")).items()],
+        )
+    )
+
+
+def _window_categories(reference: DataFrame, totals: DataFrame, current: DataFrame, window: str) -> DataFrame:
+    by = [window, "feature"]
+    counts = current.groupBy(*by, "category").agg(F.sum("n_cur").alias("n_cur"))
+    sums = counts.groupBy(*by).agg(F.sum("n_cur").alias("total_cur"))
+    rows = counts.join(sums, by).join(reference.select("feature", "category", "n_ref"), ["feature", "category"], "left")
+    rows = rows.join(F.broadcast(totals.select("feature", "total_ref")), "feature", "left")
+    rows = rows.withColumns({"n_ref": F.coalesce("n_ref", F.lit(0).cast("long")), "order_key": F.col("category")})
+    return rows.groupBy(*by).agg(*[column.alias(name) for name, column in _seen(F.lit(True)).items()])
+
+
 def drift_from_window_counts(
     ref_numbers: DataFrame,
     cur_numbers: DataFrame,
@@ -283,28 +428,35 @@ def drift_from_window_counts(
     cur_categories: DataFrame,
     window: str,
     cuts: dict[str, list[float]],
+    categorical: list[str] = ("type",),
+    windows: DataFrame | None = None,
 ) -> DataFrame:
     """Drift per window from counts, as kept by a stream or computed in a batch.
 
-    Counts are kept by value alone; ``cuts`` only spread the work and may differ from call to call.
-
-    The reference counts are repeated once per window. The baseline is frozen and small by
-    contract, so this grows with the number of windows, not with the readings.
+    Counts are kept by value alone; ``cuts`` only spread the work and may differ from call to call. The reference is
+    indexed once; a window looks up its own values in it, so the work grows with the reference plus the values of all
+    windows, not with their product. A window without a usable value of a feature has a row for it all the same;
+    ``windows`` names them, else those of the counts are taken.
     """
-    windows = cur_numbers.agg(F.collect_set(window).alias("windows")).scalar()
-
-    def aligned(ref: DataFrame, cur: DataFrame, keys: list[str]) -> DataFrame:
-        repeated = ref.withColumn(window, F.explode(windows))
-        both = repeated.unionByName(cur.select(repeated.columns))
-        return both.groupBy(window, "feature", *keys).agg(
-            F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")
-        )
-
-    by = [window]
-    values = value_range(aligned(ref_numbers, cur_numbers, ["value"]), cuts)
-    numbers = numeric_statistics(ecdf_from_counts(values, by), by)
-    categories = category_statistics(aligned(ref_categories, cur_categories, ["category"]), by)
-    return choose_tests(numbers.unionByName(categories), by)
+    index = written(reference_index(ref_numbers, cuts), "reference-index")
+    totals = _index_totals(index)
+    if windows is None:
+        windows = cur_numbers.select(window).unionByName(cur_categories.select(window))
+    windows = windows.select(window).where(F.col(window).isNotNull()).distinct()
+    seen = _window_numbers(index, totals, cur_numbers, window, cuts)
+    numbers = _with_unseen(seen, windows, window, totals, list(cuts))
+    norm = F.greatest(F.col("std_ref"), F.lit(C.WASSERSTEIN_NORM_FLOOR))
+    numbers = numbers.withColumn("wasserstein", F.col("distance") / norm).withColumn("numeric", F.lit(True))
+    kinds = ref_categories.groupBy("feature", "category").agg(F.sum("n_ref").alias("n_ref"))
+    sums = kinds.groupBy("feature").agg(
+        F.sum("n_ref").alias("total_ref"),
+        F.count(F.lit(1)).alias("values_ref"),
+        F.max("category").alias("top_ref"),
+        (F.max_by("n_ref", "category") / F.sum("n_ref")).alias("p_top"),
+    )
+    categories = _with_unseen(_window_categories(kinds, sums, cur_categories, window), windows, window, sums, list(categorical))
+    categories = categories.withColumns({name: F.lit(None).cast("double") for name in _NUMBERS_ONLY})
+    return choose_tests(numbers.unionByName(categories.withColumn("numeric", F.lit(False))), [window])
 
 
 def drift_verdict(by_column: DataFrame, threshold: float = C.DRIFT_SHARE_THRESHOLD) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from torqline import config as C
@@ -91,21 +94,66 @@ def purge_exported(readings: DataFrame, exported_ids: DataFrame, new_path: str)
     return readings.join(exported_ids.select("id"), "id", "left_semi").count()
 
 
+_BINS = 1024
+
+
+def _axis(df: DataFrame, key: str) -> tuple[Column, Callable[[int], Column]] | None:
+    """``key`` as a whole number, and back; None for types that have no such form."""
+    kind = df.schema[key].dataType.typeName()
+    if kind in ("byte", "short", "integer", "long"):
+        return F.col(key).cast("long"), F.lit
+    if kind == "timestamp":
+        return F.unix_micros(F.col(key)), lambda at: F.timestamp_micros(F.lit(at))
+    if kind == "timestamp_ntz":
+        # The wall clock read as UTC, whatever the zone of the session.
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        micros = F.timestamp_diff("MICROSECOND", epoch, F.col(key))
+        return micros, lambda at: epoch + F.make_dt_interval(secs=F.lit(Decimal(at).scaleb(-6)))
+    return None
+
+
+def newest_cut(df: DataFrame, rows: int, key: str) -> Column | None:
+    """A filter on ``key`` that the last ``rows`` rows pass and, ties apart, not many more; None if all rows are needed.
+
+    Exact selection by histograms: the first one has bins that widen with the distance from the largest key, a
+    sixteenth of an octave each, so that it is fine where the newest rows lie, at any size. As long as the bin that
+    the cut falls into holds more than ``rows`` rows, it is counted again in equal bins, reading its own range only.
+    Cuts are keys that occur, so every count is exact.
+    """
+    form = _axis(df, key)
+    if form is None:
+        return None
+    axis, back = form
+    keys = df.select(F.col(key), axis.alias("axis"))
+    found = keys.agg(F.count("axis").alias("n"), F.max("axis").alias("high")).first()
+    if found["n"] <= rows:
+        return None
+    bins = F.floor(16 * F.log2(F.lit(found["high"]).cast("double") - F.col("axis") + 1))
+    above, part = 0, keys.where("axis IS NOT NULL")
+    while True:
+        counted = part.groupBy(bins.alias("bin")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("axis").alias("low"), F.max("axis").alias("high")
+        )
+        for chosen in sorted(counted.collect(), key=lambda b: -b["high"]):  # some 1,024 bins
+            if above + chosen["n"] >= rows:
+                break
+            above += chosen["n"]
+        if chosen["n"] <= rows or chosen["low"] == chosen["high"]:
+            return F.col(key) >= back(chosen["low"])
+        part = part.where((F.col(key) >= back(chosen["low"])) & (F.col(key) <= back(chosen["high"])))
+        width = max(1, -(-(chosen["high"] - chosen["low"] + 1) // _BINS))
+        bins = F.floor((F.lit(chosen["high"]) - F.col("axis")) / F.lit(width))
+
+
 def newest_rows(df: DataFrame, rows: int, key: str, *ties: str) -> DataFrame:
     """The last ``rows`` rows in the order of ``key`` and ``ties``.
 
-    A top-k alone keeps ``rows`` rows of every input partition. So a cut is found first, in one pass over
-    ``key``, beyond which a little more than ``rows`` rows lie; as a filter it reaches the scan, and
-    the top-k meets only what is left.
+    A top-k alone keeps ``rows`` rows of every input partition. So ``newest_cut`` goes first: it reads ``key`` only,
+    as a filter it reaches the scan, and the top-k meets little more than the rows asked for.
     """
-    total = df.count()
-    share = 1.0 - (1.05 * rows + 1) / max(total, 1)
-    if share > 0:
-        cut = df.agg(F.percentile_approx(key, share, 10_000)).first()[0]
-        newer = df.where(F.col(key) >= F.lit(cut))
-        if newer.count() >= rows:
-            df = newer
-    return df.orderBy(*[F.desc(name) for name in (key, *ties)]).limit(rows)
+    cut = newest_cut(df, rows, key)
+    newest = df if cut is None else df.where(cut)
+    return newest.orderBy(*[F.desc(name) for name in (key, *ties)]).limit(rows)
 
 
 def training_window(training: DataFrame, rows: int = C.TRAINING_WINDOW) -> DataFrame:
