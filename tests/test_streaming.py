@@ -10,7 +10,7 @@ from torqline.session import scratch_path
 from torqline.sources import readings as rd
 from torqline.sources import schemas, sinks, tables
 from torqline.streaming.drift_watch import DriftWatch
-from torqline.streaming.scoring import start_scoring
+from torqline.streaming.scoring import NotOfTheData, failing_rows, start_scoring
 from torqline.streaming.tool_state import current_tools, start_tool_state
 
 
@@ -120,27 +120,74 @@ def test_exports_follow_the_rows_of_the_batch_job(watch, readings):
     assert tuple(table.agg(F.count("UDI"), F.countDistinct("UDI"), F.max("UDI")).first()) == (n, n, n)
 
 
-def test_a_failing_scorer_does_not_end_the_run(spark, readings):
+def scoring_run(spark, bad, path, scorers):
+    stream = spark.readStream.schema(bad.schema).parquet(f"{path}/in")
+    query = start_scoring(stream, scorers, f"{path}/out", f"{path}/rejected", f"{path}/cp", retries=1, wait_seconds=0.1)
+    query.awaitTermination()
+
+
+def test_without_a_model_nothing_is_rejected(spark, readings):
+    """No version yet, or a scorer that fails whatever it gets: the run ends and the next one scores the same rows."""
     path = scratch_path(spark, "stream")
     bad = rd.with_bad_rows(readings).drop("predicted_failure_type", "target")
+    bad.write.parquet(f"{path}/in")
+    asked = []
 
     def broken(df):
         raise RuntimeError("no model")
 
-    def run(scorer):
-        stream = spark.readStream.schema(bad.schema).parquet(f"{path}/in")
-        start_scoring(stream, lambda: (scorer, detail), f"{path}/out", f"{path}/rejected", f"{path}/cp").awaitTermination()
-
-    bad.where("id < 600").write.parquet(f"{path}/in")
-    run(broken)
-    bad.where("id >= 600").write.mode("append").parquet(f"{path}/in")
-    run(gate)
+    def none_yet():
+        asked.append(1)
+        raise RuntimeError("no production version")
+
+    for scorers, message in ((none_yet, "no production version"), (lambda: (broken, detail), "no model")):
+        with pytest.raises(Exception, match=message):
+            scoring_run(spark, bad, path, scorers)
+        rejected = tables.if_present(lambda: spark.read.parquet(f"{path}/rejected"))
+        assert rejected is None or rejected.count() == 0
+    assert len(asked) == 2
+    scoring_run(spark, bad, path, lambda: (gate, detail))
     rejected = spark.read.parquet(f"{path}/rejected")
-    failed = rejected.where(F.array_contains("reasons", "scoring failed: RuntimeError: no model"))
-    assert failed.count() == quality.valid_readings(bad).where("id < 600").count()
+    assert rejected.where("exists(reasons, r -> r LIKE 'scoring failed%')").count() == 0
+    assert spark.read.parquet(f"{path}/out").count() == quality.valid_readings(bad).count()
     assert spark.read.parquet(f"{path}/out").count() + rejected.count() == readings.count()
 
 
+def test_one_poisoned_row_leaves_the_others_scored(spark, readings):
+    path = scratch_path(spark, "stream")
+    clean = quality.valid_readings(readings).drop("predicted_failure_type", "target")
+    clean.write.parquet(f"{path}/in")
+    poisoned = [r["id"] for r in clean.orderBy("id").select("id").limit(500).collect()][123::300]
+
+    def fragile(df):
+        checked = F.when(F.col("id").isin(poisoned), F.raise_error(F.lit("no such torque"))).otherwise(F.col("predicted_failure"))
+        return df.withColumn("machine_failure", checked.cast("int")).drop("predicted_failure")
+
+    scoring_run(spark, clean, path, lambda: (fragile, detail))
+    rejected = spark.read.parquet(f"{path}/rejected")
+    assert sorted(r["id"] for r in rejected.collect()) == poisoned
+    assert all("no such torque" in r["reasons"][0] for r in rejected.collect())
+    assert spark.read.parquet(f"{path}/out").count() == clean.count() - len(poisoned)
+
+
+def test_many_failing_rows_are_not_of_the_data(spark):
+    def attempt(part):
+        if part.count():
+            raise ValueError("always")
+
+    with pytest.raises(NotOfTheData, match="more than 3 rows"):
+        failing_rows(spark.range(40), attempt, limit=3)
+    assert failing_rows(spark.range(0), attempt) == []
+
+
+def test_a_batch_written_again_without_rows_has_none(spark, readings):
+    path = scratch_path(spark, "batches")
+    for batch_id in (3, 4):
+        sinks.write_batch(readings.where("id < 5"), path, batch_id, "batch_id")
+    sinks.write_batch(readings.where("id < 0"), path, 3, "batch_id")
+    assert [tuple(r) for r in spark.read.parquet(path).groupBy("batch_id").count().collect()] == [(4, 5)]
+
+
 def test_failed_export_is_retried(watch, readings, monkeypatch):
     sinks.insert_readings(shifted(readings), watch.readings)
 

@@ -32,14 +32,15 @@ def write_training(df: DataFrame, path: str) -> None:
 def write_batch(
     df: DataFrame, path: str, batch_id: int, column: str = "export_batch", fresh: bool = False
 ) -> None:
-    """Write one numbered batch so that writing it again replaces it; ``fresh`` drops all other batches."""
-    (
-        df.withColumn(column, F.lit(batch_id).cast("long"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if fresh else "dynamic")
-        .partitionBy(column)
-        .parquet(path)
-    )
+    """Write one numbered batch so that writing it again replaces it; ``fresh`` drops all other batches.
+
+    The batch is a partition folder of its own that is overwritten as a whole: rewritten without rows, it has none.
+    """
+    if fresh:
+        numbered = df.withColumn(column, F.lit(batch_id).cast("long")).write.mode("overwrite")
+        numbered.option("partitionOverwriteMode", "static").partitionBy(column).parquet(path)
+    else:
+        df.drop(column).write.mode("overwrite").parquet(f"{path}/{column}={batch_id}")
 
 
 def append_audit(

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -68,6 +69,53 @@ def score_readings(df: DataFrame, gate: Scorer, detail: Scorer | None) -> DataFr
     ).withColumn("target", features.target_kind(F.col("predicted_failure_type")))
 
 
+class NotOfTheData(RuntimeError):
+    """Scoring failed for a reason that does not lie in single rows."""
+
+
+# More failing rows than this in one micro-batch are no fault of the rows.
+FAILING_ROWS = 64
+_SPLITS = 60
+
+
+def failing_rows(
+    rows: DataFrame, attempt: Callable[[DataFrame], None], limit: int = FAILING_ROWS
+) -> list[tuple[Column, str]]:
+    """Filters on ``rows`` for the rows that ``attempt`` fails on, one by one, each with its error.
+
+    A part that fails is halved by one more bit of a hash of its rows until one row is left (or equal rows): about
+    2 log2(rows) attempts for each failing row. ``attempt`` must run the job, not only plan it. If it fails on no rows at all, or on more
+    than ``limit`` parts, that is raised as ``NotOfTheData``.
+    """
+    try:
+        attempt(rows.limit(0))
+    except Exception as error:
+        raise NotOfTheData(f"{type(error).__name__}: {error}"[:500]) from error
+    # Maps have no hash; what is equal otherwise stays together.
+    plain = [f.name for f in rows.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    drawn = F.xxhash64(*[F.col(f"`{name}`") for name in plain])
+    found: list[tuple[Column, str]] = []
+
+    def search(bits: int, value: int) -> None:
+        here = drawn.bitwiseAND(F.lit((1 << bits) - 1)) == F.lit(value)
+        part = rows.where(here)
+        try:
+            attempt(part)
+            return
+        except Exception as error:  # noqa: BLE001 - any error of any scorer
+            message = f"{type(error).__name__}: {error}"
+        if bits == _SPLITS or part.limit(2).count() < 2:
+            found.append((here, message))
+            if len(found) > limit:
+                raise NotOfTheData(f"scoring fails on more than {limit} rows, last with {message}"[:500])
+            return
+        search(bits + 1, value)
+        search(bits + 1, value | 1 << bits)
+
+    search(0, 0)
+    return found
+
+
 def start_scoring(
     stream: DataFrame,
     scorers: Callable[[], tuple[Scorer, Scorer | None]],
@@ -75,28 +123,48 @@ def start_scoring(
     rejected: str,
     checkpoint: str,
     trigger: dict | None = None,
+    retries: int = 2,
+    wait_seconds: float = 1.0,
 ) -> StreamingQuery:
     """Score a stream of readings into ``output``; contract violations go to ``rejected``.
 
-    So do the valid readings of a micro-batch whose scoring fails, with the error as their reason: the
-    run goes on with the next one.
+    So do single readings whose scoring fails, with the error as their reason: a micro-batch that fails is halved
+    until they are found, and the others are scored. What is no fault of the rows (no model yet, a scorer that fails on
+    nothing at all or on many rows) rejects none of them: it is tried again ``retries`` times and then ends the
+    run, whose next start takes the same micro-batch up again.
 
-    ``scorers`` is asked before every micro-batch, which is where models are swapped. Batches
-    are written under their number, so one that is replayed replaces its own rows.
+    ``scorers`` is asked before every attempt, which is where models are swapped. Batches
+    are written under their number, so one that is replayed replaces its own rows, also by none.
     """
 
+    def score(batch: DataFrame, batch_id: int) -> None:
+        refused, valid = quality.quarantine(batch), quality.valid_readings(batch)
+        gate, detail = scorers()
+        try:
+            write_batch(score_readings(valid, gate, detail), output, batch_id, "batch_id")
+        except Exception:  # noqa: BLE001 - whatever went wrong, the rows it went wrong with are looked for
+
+            def attempt(part: DataFrame) -> None:
+                score_readings(part, gate, detail).write.format("noop").mode("overwrite").save()
+
+            for here, message in failing_rows(valid, attempt):
+                reason = F.lit(f"scoring failed: {message}"[:500])
+                refused = refused.unionByName(valid.where(here).withColumn("reasons", F.array(reason)))
+                valid = valid.where(~here)
+            write_batch(score_readings(valid, gate, detail), output, batch_id, "batch_id")
+        write_batch(refused, rejected, batch_id, "batch_id")
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         # Read once for the valid and the rejected branch; recomputed from the source if lost.
         batch = batch.persist()
         try:
-            refused, valid = quality.quarantine(batch), quality.valid_readings(batch)
-            try:
-                gate, detail = scorers()
-                write_batch(score_readings(valid, gate, detail), output, batch_id, "batch_id")
-            except Exception as error:  # noqa: BLE001 - whatever went wrong, later readings are scored
-                reason = f"scoring failed: {type(error).__name__}: {error}"[:500]
-                refused = refused.unionByName(valid.withColumn("reasons", F.array(F.lit(reason))))
-            write_batch(refused, rejected, batch_id, "batch_id")
+            for turn in range(retries + 1):
+                try:
+                    return score(batch, batch_id)
+                except Exception:  # noqa: BLE001 - the last one ends the run
+                    if turn == retries:
+                        raise
+                    time.sleep(wait_seconds)
         finally:
             batch.unpersist()
 
