@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from torqline.llm.sharding import (
     _large_hypergeometric,
@@ -31,6 +32,20 @@ def test_seed_decides_and_more_shards_than_rows_work(docs, rows):
     assert len(places(shards=500)) == len(rows)
 
 
+def test_equal_rows_are_shuffled(spark, tmp_path):
+    """A thousand equal rows of five thousand lie like any other thousand: in every shard, and seldom side by side."""
+    rows = spark.range(5000).select(
+        F.when(F.col("id") < 1000, F.lit(7)).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") < 1000, F.lit("same")).otherwise(F.col("id").cast("string")).alias("text"),
+    )
+    rows.repartition(4).write.parquet(f"{tmp_path}/rows")
+    got = hypergeometric_shards(spark.read.parquet(f"{tmp_path}/rows"), 10).collect()
+    held = Counter(r["shard"] for r in got if r["doc_id"] == 7)
+    assert sorted(held) == list(range(10)) and 60 <= min(held.values()) and max(held.values()) <= 140
+    order = [r["doc_id"] == 7 for r in sorted(got, key=lambda r: (r["shard"], r["slot"]))]
+    assert 130 <= sum(a and b for a, b in zip(order, order[1:])) <= 270
+
+
 def test_empty_table(nothing):
     assert hypergeometric_shards(nothing, 4).count() == 0
 

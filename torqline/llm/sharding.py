@@ -81,14 +81,15 @@ def hypergeometric_shards(docs: DataFrame, shards: int = SHARDS, seed: int = SEE
     """All columns of ``docs`` with ``shard`` (0 to ``shards`` - 1) and ``slot`` (gapless from 0 in its shard).
 
     Shard sizes are exact and at most one apart; the order over (shard, slot) is a uniform permutation that
-    depends on ``seed`` and the rows only. ``docs`` must be a stored table: its partitions are counted in one
-    pass and dealt out in a second one (a mismatch raises). Only one row per input partition and one per
-    block of a shard reach the driver or a broadcast.
+    depends on ``seed`` and the places of the rows in ``docs``. That must be a stored table: its partitions are
+    counted in one pass and dealt out in a second one (a mismatch raises), and a task that runs again reads the same
+    rows in the same order. Only one row per input partition and one per block of a shard reach the driver or a
+    broadcast.
 
     A shard is permuted in blocks drawn by hash, each about as large as an input partition, so that no task
     holds a whole shard; a block begins where the blocks before it end.
 
-    Nulls and empty texts are ordinary rows; equal rows are dealt out one by one; an empty table gives an
+    Nulls and empty texts are ordinary rows; equal rows are shuffled like all others; an empty table gives an
     empty result; columns already called ``shard`` or ``slot`` are replaced; other columns are kept.
     """
     spark = docs.sparkSession
@@ -106,11 +107,11 @@ def hypergeometric_shards(docs: DataFrame, shards: int = SHARDS, seed: int = SEE
     deal = sent_if_small(deal, len(counts), 8 * shards + 64)
     blocks = max(1, math.ceil(len(counts) / shards))
 
-    hashable = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    # The place of a row in the stored table, not its content, is what the keys are drawn from: equal rows part.
     permuted = docs.select(
         "*",
         F.spark_partition_id().alias("_tq_part"),
-        F.xxhash64(F.lit(seed), *hashable).alias("_tq_key"),
+        F.xxhash64(F.lit(seed), F.monotonically_increasing_id()).alias("_tq_key"),
     ).sortWithinPartitions("_tq_key")
     permuted = permuted.select(
         "*", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _RANK_BITS) - 1)).alias("_tq_rank")
