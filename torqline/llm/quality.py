@@ -22,6 +22,7 @@ from torqline.llm import words
 from torqline.llm.samples import at_most, labels_of
 
 SAMPLE_ROWS = 20_000  # trusted positives, and as many unlabelled texts
+SLICE_BYTES = 1 << 20  # documents scored and handed on together; a longer document goes alone
 _STEPS, _RATE, _DECAY = 600, 0.05, 1e-4
 
 _WORD = ~words.byte_class(0x20, range(0x09, 0x0E))
@@ -109,7 +110,7 @@ def nn_pu_fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> dic
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = words.text_bytes(batch.column(1))
-        for i, j in words.slices(offsets):
+        for i, j in words.slices(offsets, SLICE_BYTES):
             rows = text_features(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(i, j - i), pa.array(list(rows), pa.list_(pa.float64()))], names=["kind", "x"]
@@ -165,12 +166,10 @@ def quality_scores(docs: DataFrame, model: dict | None, *keep: str) -> DataFrame
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = words.text_bytes(batch.column(text_at))
-            found = [
-                score_features(model, text_features(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]))
-                for i, j in words.slices(offsets)
-            ]
-            scores = pa.array(np.concatenate([np.zeros(0), *found]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:width], scores], names=[*keep, "score"])
+            for i, j in words.slices(offsets, SLICE_BYTES):
+                x = text_features(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                kept = [column.slice(i, j - i) for column in batch.columns[:width]]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(score_features(model, x))], names=[*keep, "score"])
 
     rows = docs.select(*[F.col(f"`{c}`") for c in keep])
     fields = StructType([*rows.schema.fields, StructField("score", DoubleType())])
