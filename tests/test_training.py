@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import random
+import threading
 from itertools import product
 
 import numpy as np
@@ -20,9 +22,9 @@ from torqline.sources.model_store import ModelStore
 from torqline.streaming.scoring import ProductionModels
 from torqline.training import sampling
 from torqline.training.calibration import calibrated_probabilities, fit_sigmoids
-from torqline.training.experiments import EXPERIMENTS
-from torqline.training.model import CalibratedModel, check_classes, train_model
-from torqline.training.tuning import trial_points, tune_model
+from torqline.training.experiments import EXPERIMENTS, draw
+from torqline.training.model import CalibratedModel, check_classes, side_by_side, train_model
+from torqline.training.tuning import search, trial_points, tune_model
 
 SMALL = {
     "xgboost": {"maxIter": 2, "maxDepth": 3},
@@ -123,6 +125,48 @@ def test_absent_class_gets_no_probability(spark):
     assert p[2] == pytest.approx(0.0, abs=1e-12) and sum(p) == pytest.approx(1.0)
 
 
+def test_fits_overlap_keep_their_order_and_raise(spark):
+    """Three driver tasks that wait for one another only end if all of them run."""
+    meet = threading.Barrier(3, timeout=30)
+
+    def task(n):
+        meet.wait()
+        return spark.range(n).count()
+
+    assert side_by_side(spark, [lambda n=n: task(n) for n in (3, 1, 2)]) == [3, 1, 2]
+    with pytest.raises(ZeroDivisionError):
+        side_by_side(spark, [lambda: 1, lambda: 1 // 0])
+
+
+_SURFACE = {"x": ("float", 0.0, 1.0), "rate": ("log", 1e-3, 1.0), "depth": ("int", 1, 20), "kind": ("choice", list("abc"))}
+
+
+def _height(point):
+    off = (point["x"] - 0.3) ** 2 + (math.log10(point["rate"]) / 3 + 0.4) ** 2 + ((point["depth"] - 14) / 19) ** 2
+    return -off - (point["kind"] != "b") * 0.2
+
+
+def test_search_learns_a_known_surface_better_than_random_draws():
+    seen, best, by_chance = [], [], []
+    for seed in range(20):
+        rng = random.Random(seed)
+        drawn = [draw(_SURFACE, rng) for _ in range(30)]
+
+        def evaluate(points):
+            seen.append(len(points))
+            assert all(0 <= p["x"] <= 1 and 1e-3 <= p["rate"] <= 1 and p["depth"] in range(1, 21) for p in points)
+            return [_height(p) for p in points]
+
+        tried = search(_SURFACE, drawn[:10], 30, 4, evaluate, seed)
+        assert [p for p, _ in tried[:10]] == drawn[:10] and len(tried) == 30
+        assert tried == search(_SURFACE, drawn[:10], 30, 4, lambda points: [_height(p) for p in points], seed)
+        best.append(max(score for _, score in tried))
+        by_chance.append(max(map(_height, drawn)))
+    assert set(seen) == {4, 2}
+    assert np.mean(best) > np.mean(by_chance) / 2 and np.median(best) > np.median(by_chance)
+    assert sum(a > b for a, b in zip(best, by_chance)) >= 14
+
+
 def test_search_starts_warm_and_is_repeatable():
     points = trial_points(EXPERIMENTS["xgb_binary"], 4)
     assert points[0] == EXPERIMENTS["xgb_binary"].warm_start and points == trial_points(EXPERIMENTS["xgb_binary"], 4)

@@ -93,7 +93,7 @@ def _common(weighted: bool) -> dict:
 
 
 def _one_vs_rest(classifier: Estimator, weighted: bool) -> OneVsRest:
-    return OneVsRest(classifier=classifier, parallelism=4, **_common(weighted))
+    return OneVsRest(classifier=classifier, parallelism=len(C.FAILURE_CLASSES), **_common(weighted))
 
 
 def _boosted(params: dict) -> dict:
@@ -142,6 +142,7 @@ def perceptron(params: dict, facts: TrainingFacts) -> Estimator:
     )
 
 
+# Published settings and search ranges of the experiments.
 _XGB_WINNER = {
     "maxIter": 155,
     "maxDepth": 8,

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from math import ceil
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -14,6 +17,7 @@ from pyspark.sql import functions as F
 from torqline import config as C
 from torqline.functions import features, labels
 from torqline.operators import metrics
+from torqline.session import shared_folder
 from torqline.training import sampling
 from torqline.training.calibration import (
     argmax_index,
@@ -179,19 +183,32 @@ class CalibratedModel:
         )
 
 
+def side_by_side(spark: SparkSession, tasks: list[Callable]) -> list:
+    """Results of driver tasks that run their Spark jobs at the same time, in order; the first failure is raised.
+
+    Boosting is a long chain of short jobs, which leaves a cluster idle unless several chains share it.
+    """
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]
+        return [one.result() for one in running]
+
+
 def fit_calibrated(train: DataFrame, experiment: Experiment, preparation: PipelineModel) -> CalibratedModel:
-    """``train`` is prepared, weighted and carries ``calibration_fold``."""
+    """``train`` is prepared, weighted, persisted and carries ``calibration_fold``; the folds are fitted side by side."""
+    # Boosting cuts the lineage of its errors every few trees, but only where there is a checkpoint folder.
+    shared_folder(train.sparkSession)
     counts = class_counts(train)
     # Class indexes stay those of the class list even where one of its classes is absent.
     classes = len(C.FAILURE_CLASSES) if experiment.multiclass else 2
     inputs = len(train.select("features").first()["features"])
     facts = TrainingFacts(inputs, classes, sum(counts.values()))
     pipeline = Pipeline(stages=[experiment.build(experiment.params, facts)])
-    classifiers, held_out = [], []
-    for fold in range(C.CALIBRATION_FOLDS):
-        inside = F.col("calibration_fold") != fold
-        classifiers.append(pipeline.fit(train.where(inside)))
-        scored = _with_scores(classifiers[-1], train.where(~inside), experiment.score)
+    fold_of = F.col("calibration_fold")
+    inside = [train.where(fold_of != fold) for fold in range(C.CALIBRATION_FOLDS)]
+    classifiers = side_by_side(train.sparkSession, [lambda rows=rows: pipeline.fit(rows) for rows in inside])
+    held_out = []
+    for fold, classifier in enumerate(classifiers):
+        scored = _with_scores(classifier, train.where(fold_of == fold), experiment.score)
         held_out.append(scored.select(F.lit(fold).alias("fold"), "label", "scores"))
     scores = held_out[0]
     for other in held_out[1:]:
