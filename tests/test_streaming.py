@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from torqline.functions import quality
-from torqline.operators import etl
+from torqline.operators import drift, etl
 from torqline.plans import jobs
 from torqline.session import scratch_path
 from torqline.sources import readings as rd
@@ -91,6 +91,85 @@ def test_drift_exports_requests_and_purges(watch, readings):
     assert watch.spark.read.json(watch.requests).count() == 2
 
 
+def exported(watch):
+    """(reading, check) of the training rows, whose keys must be dense."""
+    rows = watch.spark.read.parquet(watch.training).select("UDI", "reading_id", "export_batch").collect()
+    assert sorted(r["UDI"] for r in rows) == list(range(1, len(rows) + 1))
+    return sorted((r["reading_id"], r["export_batch"]) for r in rows)
+
+
+def test_stream_checks_over_several_triggers(watch, readings):
+    """Checks without drift gather; the first one with drift hands over what gathered, the next only what is new."""
+    steps = [readings.where("id < 300"), readings.where("id BETWEEN 300 AND 499")]
+    steps += [shifted(readings.where("id BETWEEN 500 AND 899")), shifted(readings.where("id >= 900"))]
+    for rows in steps:
+        sinks.insert_readings(rows, watch.readings)
+        watch.start(f"{watch.audit}-cp").awaitTermination()
+    assert audit(watch) == [(False, False), (False, False), (True, True), (True, True)]
+    ids = [r["id"] for r in readings.select("id").collect()]
+    assert exported(watch) == sorted((i, 2 if i < 900 else 3) for i in ids)
+
+
+def test_a_stream_check_judges_as_a_check_of_the_table(watch, readings, monkeypatch):
+    """Counts merged over checks give the verdict per column that all their readings give."""
+    seen = []
+    real = drift.drift_verdict
+    monkeypatch.setattr(drift, "drift_verdict", lambda rows, threshold: seen.append(rows.collect()) or real(rows, threshold))
+    watch.threshold = 2.0
+    for n, rows in enumerate([readings.where("id < 200"), shifted(readings.where("id BETWEEN 200 AND 399"))]):
+        sinks.insert_readings(rows, watch.readings)
+        watch.check_batch(rows, n)
+    watch.check(5)
+    merged, whole = ({r["feature"]: r for r in rows} for rows in seen[1:])
+    assert set(merged) == set(whole) and len(merged) == 9
+    for name, row in whole.items():
+        assert merged[name]["method"] == row["method"] and merged[name]["drifted"] == row["drifted"]
+        assert merged[name]["value"] == pytest.approx(row["value"], rel=1e-9, abs=1e-12)
+        assert (merged[name]["n_ref"], merged[name]["n_cur"]) == (row["n_ref"], row["n_cur"])
+
+
+def test_replayed_stream_checks_change_nothing(watch, readings):
+    first, second = shifted(readings.where("id < 400")), shifted(readings.where("id >= 400"))
+    for rows, number in ((first, 0), (second, 1), (second, 1)):
+        assert watch.check_batch(rows, number) is True
+    ids = [r["id"] for r in readings.select("id").collect()]
+    assert exported(watch) == sorted((i, int(i >= 400)) for i in ids)
+    assert len(audit(watch)) == 2
+
+
+def test_rows_of_an_export_that_failed_go_with_the_next(watch, readings, monkeypatch):
+    """An export that dies after its rows were written, and one that dies before: no row twice, none lost."""
+    write, calls = sinks.write_batch, []
+
+    def failing(df, path, batch_id, *rest, **more):
+        after = path == watch.training and batch_id == 0
+        if path == watch.training and batch_id == 1 and 1 not in calls:
+            calls.append(1)
+            raise OSError("full")
+        write(df, path, batch_id, *rest, **more)
+        if after and 0 not in calls:
+            calls.append(0)
+            raise OSError("lost")
+
+    monkeypatch.setattr(sinks, "write_batch", failing)
+    parts = [shifted(readings.where(f"id % 3 = {n}")) for n in range(3)]
+    for number, rows in enumerate(parts):
+        assert watch.check_batch(rows, number) is True
+    assert sorted(calls) == [0, 1]
+    assert audit(watch) == [(True, False), (True, False), (True, True)]
+    assert exported(watch) == [(r["id"], 2) for r in readings.select("id").orderBy("id").collect()]
+
+
+def test_a_stream_check_reads_folders_of_open_checks_only(watch, readings):
+    for number in range(4):
+        sinks.write_batch(readings.where(f"id % 4 = {number}"), f"{watch.state}/readings", number, "check")
+    live = watch._kept("readings", 2, 3)
+    plan = live._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(check" in plan and "Join" not in plan
+    assert {f.split("check=")[1][0] for f in live.inputFiles()} >= {"2", "3"}
+    assert sorted({r["id"] % 4 for r in live.collect()}) == [2, 3]
+
+
 def test_replayed_check_does_not_repeat_rows(watch, readings):
     sinks.insert_readings(shifted(readings), watch.readings)
     live = watch.live_readings()

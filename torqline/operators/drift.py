@@ -238,6 +238,17 @@ def drift_by_column(
     return choose_tests(drift_statistics(reference, current, numeric, categorical, ranges))
 
 
+def drift_from_counts(numbers: DataFrame, categories: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
+    """Per-column drift from counts of values and categories, as kept batch by batch: counts of one value add up.
+
+    ``cuts`` name the numeric features and only spread the work.
+    """
+    sums = [F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")]
+    values = value_range(numbers.groupBy("feature", "value").agg(*sums), cuts)
+    kinds = categories.groupBy("feature", "category").agg(*sums)
+    return choose_tests(numeric_statistics(ecdf_from_counts(values)).unionByName(category_statistics(kinds)))
+
+
 def drift_by_window(
     reference: DataFrame,
     current: DataFrame,

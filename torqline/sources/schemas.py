@@ -87,4 +87,6 @@ AUDIT_LOG = _struct(
     ("retrain_triggered", T.BooleanType(), False),
     ("error", _STR, True),
 )
+# One export of a drift check: the first check whose readings it took, and whether it is complete.
+EXPORTS = _struct(("first_check", _LONG, False), ("done", T.BooleanType(), False))
 RETRAIN_REQUESTS = _struct(("timestamp", _STR, False), ("batch_id", _LONG, False))

@@ -51,6 +51,12 @@ def append_audit(
     spark.createDataFrame(line, schemas.AUDIT_LOG).coalesce(1).write.mode("overwrite").json(f"{path}/check={batch_id}")
 
 
+def note_export(spark: SparkSession, path: str, batch_id: int, first_check: int, done: bool) -> None:
+    """What the export of a check covers, under its number; said before its rows are written and again after."""
+    line = spark.createDataFrame([(first_check, done)], schemas.EXPORTS)
+    line.coalesce(1).write.mode("overwrite").json(f"{path}/check={batch_id}")
+
+
 def request_retrain(spark: SparkSession, path: str, batch_id: int) -> None:
     """One line per request, under the number of its check."""
     line = spark.createDataFrame([(utc_now(), batch_id)], schemas.RETRAIN_REQUESTS)
