@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import time
 
 import numpy as np
 import pytest
@@ -101,6 +102,14 @@ def test_lexicon_hits_and_exceptions():
     assert toxicity.hits(toxicity.automaton({}, set()), " a b ") == (0.0, 2)
 
 
+def test_many_hits_and_exceptions_in_one_text_take_time_in_proportion():
+    matcher = toxicity.automaton({" trash ": 2.0}, {" trash can ", " can trash ", " trash bin "})
+    text = " " + "trash can trash now trash bin trash too " * 20_000
+    start = time.process_time()
+    assert toxicity.hits(matcher, text) == (40_000.0, 160_000)
+    assert time.process_time() - start < 10
+
+
 def test_exceptions_are_learnt_from_harmless_contexts(spark):
     rng = random.Random(6)
     fill = [f"w{i}" for i in range(400)]

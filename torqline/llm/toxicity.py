@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import ahocorasick
@@ -28,7 +29,6 @@ MIN_DEVIATIONS = 4.0  # standard deviations by which an entry's toxic texts must
 STEMS = (4, 5, 6)  # lengths of word beginnings
 STEM_CONTEXTS = 25
 EXCEPTION_TEXTS = 3
-LEXICON_ENTRIES = 20_000  # the strongest ones, if a corpus should give more
 
 # Letters of other scripts drawn like Latin ones.
 _LOOKALIKES = {
@@ -129,7 +129,7 @@ def _lexicon(sample: DataFrame, toxic: int, harmless: int, stands_for: dict[int,
         # As much as the entry's rates in the two classes differ by: that holds in counts of the sample, however each
         # class was sampled; rows counted several times would pass for more evidence than there is.
         beyond = t - by_chance >= MIN_DEVIATIONS * math.sqrt(by_chance * (1 - share))
-        if _precise(t, h, stands_for) and beyond and weight > 0.5 and len(weights) < LEXICON_ENTRIES:
+        if _precise(t, h, stands_for) and beyond and weight > 0.5:
             weights[entry] = weight
     return weights
 
@@ -157,7 +157,20 @@ def hits(matcher: ahocorasick.Automaton, text: str) -> tuple[float, int]:
             excused.append((start, end))
         elif weight > best.get(start, 0.0):
             best[start] = weight
-    total = sum(w for at, w in best.items() if not any(s <= at < e for s, e in excused))
+    # Spans that overlap become one, so a word asks only the last span that begins at or before it.
+    opens, closes = [], []
+    for start, end in sorted(excused):
+        if closes and start <= closes[-1]:
+            closes[-1] = max(closes[-1], end)
+        else:
+            opens.append(start)
+            closes.append(end)
+
+    def covered(at: int) -> bool:
+        span = bisect_right(opens, at) - 1
+        return span >= 0 and at < closes[span]
+
+    total = sum(w for at, w in best.items() if not covered(at))
     return total, max(0, text.count(" ") - 1)
 
 
@@ -206,8 +219,6 @@ def _excused(sample: DataFrame, lexicon: dict[str, float]) -> set[str]:
         .groupBy("phrase")
         .agg(F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("n"))
         .filter((F.col("t") == 0) & (F.col("n") >= EXCEPTION_TEXTS))
-        .orderBy(F.desc("n"), "phrase")
-        .limit(LEXICON_ENTRIES)
         .collect()
     )
     return {row["phrase"] for row in rows}
