@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from torqline.llm import packing, records
@@ -78,6 +79,39 @@ def test_packing_is_whole_and_near_the_bound(docs, rows):
         assert bound <= got["sequence_id"].nunique() <= bound * 1.02 + 1
 
 
+def _pieces(spark, tmp_path, lengths):
+    rows = [(n, 0, 0, int(x), 0, n) for n, x in enumerate(lengths)]
+    spark.createDataFrame(rows, packing._PIECES + ", seq long").write.parquet(f"{tmp_path}/pieces")
+    return spark.read.parquet(f"{tmp_path}/pieces")
+
+
+def test_certificates_decide_which_partitions_give_up_bins(spark, tmp_path, monkeypatch):
+    """Where the gaps of partitions explain all bins beyond the bound, the certified partition is not packed again."""
+    seen, real = [], packing._release_limit
+    monkeypatch.setattr(packing, "_release_limit", lambda rooms, every: seen.append((rooms, every)) or real(rooms, every))
+    # Nine bins are enough for the even pieces; best-fit decreasing takes eleven. The others fill eight bins.
+    part = F.when(F.col("seq") < 30, 0).otherwise(1)
+    monkeypatch.setattr(packing.F, "pmod", lambda *_: part.cast("long"))
+    lengths = [51, 27, 26, 23, 23] * 6 + [100] * 8
+    got = packing.pack_pieces(_pieces(spark, tmp_path, lengths), 100, 30).toPandas()
+    assert seen[0][1] is False and seen[0][0][(False, 0)] == (8, 8)
+    assert sorted(got["seq"]) == list(range(38))
+    assert (got.loc[got["seq"] >= 30, "sequence_id"] < 1 << packing._ROUND_BITS).all()
+
+
+@pytest.mark.parametrize("low, high", [(20, 45), (34, 66), (51, 90)])
+def test_rounds_come_near_one_packing_of_all(spark, tmp_path, low, high):
+    """Partitions of 40 pieces, nearly all of them in bins that are given up; nothing is lost or overfilled."""
+    lengths = np.random.default_rng(low).integers(low, high + 1, 2000)
+    got = packing.pack_pieces(_pieces(spark, tmp_path, lengths), 100, 40).toPandas()
+    assert sorted(got["seq"]) == list(range(2000)) and (got.sort_values("seq")["length"].to_numpy() == lengths).all()
+    for _, x in got.sort_values("offset").groupby("sequence_id"):
+        offset, length = x["offset"].to_numpy(), x["length"].to_numpy()
+        assert offset[0] == 0 and (offset[1:] == (offset + length)[:-1]).all() and length.sum() <= 100
+    whole = len(packing.best_fit_decreasing(lengths, 100)[2])
+    assert got["sequence_id"].nunique() <= whole * 1.06 + 1
+
+
 def test_bounds_hold_and_see_more_than_the_total():
     rng = np.random.default_rng(1)
     for _ in range(40):

@@ -1,11 +1,13 @@
 """Best-fit packing of token sequences with certified bin counts.
 
 Partitions pack their pieces by best-fit decreasing. Lower bounds from dual feasible functions say how many bins any
-packing of a partition needs (``gap`` is what it uses beyond that) and how many the whole table needs. Even a
-certified partition may end in a bin that is nearly empty, which is a gap of the whole. While the bins in use exceed
-the bound of the whole table, partitions hand over the pieces of their emptiest bins; these meet in new, fewer
-partitions and are packed again, until the bound is met, one partition holds all that is left or a round stops
-helping.
+packing of a partition needs, and how many the whole table needs. A partition that uses as many bins as its bound is
+certified. As long as the bins beyond the bound of the whole are no more than the gaps of partitions, only partitions with
+a gap hand over the pieces of their emptiest bins, and certified ones stay as they are. What exceeds those gaps is lost
+between partitions, each of which may end in a bin that is nearly empty: then all hand over their emptiest bins. The
+pieces meet in new, fewer partitions and are packed again, until the bound of the whole table is met or one partition holds
+all that is left. Where a round needs as many bins as before, the pieces stay as they were, and the emptier half of
+their bins tries again.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from torqline.llm.tokens import encoder
 
 CAPACITY = 4096
 PIECES_PER_PARTITION = 8192
-MAX_ROUNDS = 8  # the last round settles all its bins, so nothing is left out
+_ROUND_BITS = 56  # a sequence number holds the round above these bits, the partition above 24
 _BATCH_PIECES = 4096
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -143,13 +145,24 @@ def pack_documents(
         ),
         "pieces",
     )
+    result = pack_pieces(pool, capacity, pieces_per_partition)
+    return result.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def pack_pieces(pool: DataFrame, capacity: int, pieces_per_partition: int = PIECES_PER_PARTITION) -> DataFrame:
+    """The rows of a stored table of pieces, whose ``seq`` differ, with ``sequence_id`` and ``offset``.
+
+    Lengths are 1 to ``capacity``. A round packs its pieces into fewer bins than they had, or lets the fuller half of
+    them stay, so rounds end.
+    """
     histogram = np.zeros(capacity + 1, np.int64)
     for row in pool.groupBy("length").count().collect():
         histogram[row["length"]] = row["count"]
     bound = lower_bound(histogram, capacity)
-    held, settled, used = int(histogram.sum()), [], 0
     own = [f.name for f in pool.schema]
-    for turn in range(MAX_ROUNDS):
+    held, settled, used = int(histogram.sum()), [], 0
+    previous, gone = None, {}  # how the pieces of the pool lie now, and their bins by room
+    for turn in range(1 << (63 - _ROUND_BITS)):
         parts = max(1, math.ceil(held / pieces_per_partition))
         placed = stored(
             pool.withColumn("part", F.pmod(F.xxhash64(F.lit(turn), "seq"), F.lit(parts)))
@@ -158,35 +171,70 @@ def pack_documents(
             "packed",
         ).withColumn(
             "sequence_id",
-            F.shiftleft(F.lit(turn).cast("long"), 56) + F.shiftleft("part", 24) + F.col("bin"),
+            F.shiftleft(F.lit(turn).cast("long"), _ROUND_BITS) + F.shiftleft("part", 24) + F.col("bin"),
         )
         # A bin counts where its first piece lies. Rooms are numbers up to the capacity, so this is a small table.
-        rooms = {
-            r["room"]: (r["bins"], r["pieces"])
-            for r in placed.groupBy("room")
-            .agg(F.count_if(F.col("offset") == 0).alias("bins"), F.count("*").alias("pieces"))
+        first = F.col("offset") == 0
+        found = (
+            placed.groupBy((F.col("gap") > 0).alias("gapped"), "room")
+            .agg(
+                F.count_if(first).alias("bins"),
+                F.count("*").alias("pieces"),
+                F.sum(F.when(first & (F.col("bin") == 0), F.col("gap"))).alias("gap"),
+            )
             .collect()
-        }
-        limit = _release_limit({room: bins for room, (bins, _) in rooms.items()}, capacity)
-        released = sum(pieces for room, (_, pieces) in rooms.items() if room > limit)
-        bins = sum(bins for bins, _ in rooms.values())
-        if parts == 1 or used + bins <= bound or released > held * 3 // 4 or turn == MAX_ROUNDS - 1:
+        )
+        rooms = {(r["gapped"], r["room"]): (r["bins"], r["pieces"]) for r in found}
+        bins = sum(n for n, _ in rooms.values())
+        if previous is not None and bins >= sum(n for n, _ in gone.values()):
+            # No help: the pieces lie as before, and the emptier half of those bins tries again.
+            placed, rooms, bins = previous, gone, sum(n for n, _ in gone.values())
+            every, limit = True, _fuller_half(gone)
+        else:
+            every = used + bins - bound > sum(r["gap"] or 0 for r in found)
+            limit = _release_limit(rooms, every)
+        gone = {(gapped, room): n for (gapped, room), n in rooms.items() if (every or gapped) and room > limit}
+        if parts == 1 or used + bins <= bound or not gone:
             settled.append(placed)
             break
-        settled.append(placed.filter(F.col("room") <= limit))
-        used += sum(bins for room, (bins, _) in rooms.items() if room <= limit)
-        pool, held = placed.filter(F.col("room") > limit).select(*own), released
+        leaves = (F.col("room") > limit) & (F.lit(every) | (F.col("gap") > 0))
+        settled.append(placed.filter(~leaves))
+        previous = placed.filter(leaves)
+        used += bins - sum(n for n, _ in gone.values())
+        pool, held = previous.select(*own), sum(pieces for _, pieces in gone.values())
+    else:
+        settled.append(previous)
     result = settled[0]
     for more in settled[1:]:
         result = result.unionByName(more)
-    return result.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return result
+
+
+_Rooms = dict[tuple[bool, int], tuple[int, int]]  # (bins, pieces) by (whether the partition has a gap, room)
 
 
-def _release_limit(rooms: dict[int, int], capacity: int) -> int:
-    """Bins with more room than this are packed again: the emptiest, holding all but a hundredth of the total room."""
-    total, kept, limit = sum(room * n for room, n in rooms.items()), 0, 0
-    for room in sorted(rooms):
-        kept += room * rooms[room]
+def _fuller_half(rooms: _Rooms) -> int:
+    """The room up to which bins hold at least half of the pieces."""
+    total, held, limit = sum(pieces for _, pieces in rooms.values()), 0, 0
+    for key in sorted(rooms, key=lambda key: key[1]):
+        held, limit = held + rooms[key][1], key[1]
+        if 2 * held >= total:
+            break
+    return limit
+
+
+def _release_limit(rooms: _Rooms, every: bool) -> int:
+    """Bins with more room than this are packed again: the emptiest, holding all but a hundredth of the total room.
+
+    Bins of certified partitions count only if ``every`` partition takes part.
+    """
+    bins: dict[int, int] = {}
+    for (gapped, room), (n, _) in rooms.items():
+        if every or gapped:
+            bins[room] = bins.get(room, 0) + n
+    total, kept, limit = sum(room * n for room, n in bins.items()), 0, 0
+    for room in sorted(bins):
+        kept += room * bins[room]
         if kept > total / 100:
             break
         limit = room
