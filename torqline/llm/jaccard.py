@@ -251,16 +251,26 @@ class _Join:
         return components(links, rounds)
 
     def labelled(self) -> DataFrame:
-        """The shared prefix rows whose shingle still joins different groups, with their group."""
+        """The shared prefix rows whose shingle still joins different groups, with their group.
+
+        ``out`` marks rows outside the largest group of their shingle, ``outsiders`` is how many these are.
+        """
         if not self.links:
-            return self.shared.withColumn("group", F.col("node"))
-        groups = self.groups(rounds=4)
-        rows = self.shared.join(groups, self.shared["node"] == groups["node"], "left").select(
-            self.shared["*"], F.coalesce("component", self.shared["node"]).alias("group")
+            rows = self.shared.withColumn("group", F.col("node"))
+        else:
+            groups = self.groups(rounds=4)
+            rows = self.shared.join(groups, self.shared["node"] == groups["node"], "left").select(
+                self.shared["*"], F.coalesce("component", self.shared["node"]).alias("group")
+            )
+            rows = stored(rows, "labelled")
+        sizes = rows.groupBy("shingle", "group").count()
+        main = sizes.groupBy("shingle").agg(
+            F.max(F.struct("count", "group")).alias("m"), F.sum("count").alias("all"), F.count("*").alias("groups")
         )
-        rows = stored(rows, "labelled")
-        mixed = rows.groupBy("shingle").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high")
-        return rows.join(mixed.select("shingle"), "shingle")
+        main = main.filter("groups > 1").select(
+            "shingle", F.col("m.group").alias("main"), (F.col("all") - F.col("m.count")).alias("outsiders")
+        )
+        return rows.join(main, "shingle").withColumn("out", F.col("group") != F.col("main")).drop("main")
 
     @staticmethod
     def pairs(left: DataFrame, right: DataFrame, complete: bool = False) -> DataFrame:
@@ -308,30 +318,18 @@ class _Join:
         slot = F.pmod(F.xxhash64(F.lit(turn + 100), "node"), F.lit(number)).alias("slot")
         return rows.groupBy("shingle", slot).agg(F.min(drawn).alias("l")).select("shingle", "l.node", "l.n", "l.pos", "l.group")
 
-    @staticmethod
-    def outside(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The rows of each shingle inside its largest group, and the others."""
-        sizes = rows.groupBy("shingle", "group").count()
-        main = sizes.groupBy("shingle").agg(F.max(F.struct("count", "group")).alias("m")).select("shingle", "m.group")
-        return rows.join(main, ["shingle", "group"]), rows.join(main, ["shingle", "group"], "left_anti")
-
     def run(self) -> DataFrame:
         for turn in range(LEADER_ROUNDS):
             rows = stored(self.labelled(), "remaining")
             tries = self.pairs(rows, self.leaders(rows, turn))
             if turn:
                 # Who is still outside tries several members of the main group, and of the others.
-                inside, others = self.outside(rows)
-                crowded = others.groupBy("shingle").count().filter(F.col("count") > 4 * LEADERS).select("shingle")
-                for side in (inside, others):
-                    chosen = self.leaders(side.join(crowded, "shingle"), turn, LEADERS)
-                    tries = tries.unionByName(self.pairs(others, chosen))
+                crowded = rows.filter(F.col("outsiders") > 4 * LEADERS)
+                for side in (crowded.filter("NOT out"), crowded.filter("out")):
+                    tries = tries.unionByName(self.pairs(crowded.filter("out"), self.leaders(side, turn, LEADERS)))
             self.verify(tries)
-        rows = stored(self.labelled(), "remaining")
         # Every pair of different groups has a side outside the largest group of its shingle.
-        inside, others = self.outside(rows)
-        rows = others.withColumn("out", F.lit(True)).unionByName(inside.withColumn("out", F.lit(False)))
-        rows = rows.join(self.nodes.select("node", "odd"), "node")
+        rows = stored(self.labelled(), "remaining").join(self.nodes.select("node", "odd"), "node")
         self.verify(self.pairs(rows.filter("out"), rows, complete=True))
         return self.groups()
 
