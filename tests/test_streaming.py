@@ -11,7 +11,7 @@ from torqline.sources import readings as rd
 from torqline.sources import schemas, sinks, tables
 from torqline.streaming.drift_watch import DriftWatch
 from torqline.streaming.scoring import NotOfTheData, failing_rows, start_scoring
-from torqline.streaming.tool_state import current_tools, start_tool_state
+from torqline.streaming.tool_state import current_tools, start_tool_state, tool_pieces
 
 
 def gate(df):
@@ -302,3 +302,19 @@ def test_tool_state_over_several_batches(spark, readings):
     }
     got = {r["machine_id"]: (r["tool_changes"], r["current_wear"], r["readings"]) for r in current_tools(spark, f"{path}/out").collect()}
     assert got == expected
+
+
+def test_tool_pieces_are_built_in_and_shuffled_once(spark):
+    """A micro-batch of nearly as many chunks as readings costs no Python call and no state access for each of them."""
+    rows = [("a", 0, 5.0), ("a", 1, 3.0), ("a", 2, None), ("a", 3, 1.0), ("a", 9, 0.0), ("b", 8, float("nan"))]
+    rows += [(None, 4, 2.0), (None, 5, 1.0), ("a", 1, 3.0)]
+    pieces = tool_pieces(spark.createDataFrame(rows, "machine_id string, id long, tool_wear_minutes double"), 8)
+    plan = pieces._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Python" not in plan and "Pandas" not in plan
+    got = {(r[0], r[1]): tuple(r[2:]) for r in pieces.collect()}
+    assert got == {
+        ("a", 0): (5.0, 1.0, 3, 1, 5),
+        ("a", 1): (0.0, 0.0, 9, 0, 1),
+        ("b", 1): (None, None, 8, 0, 1),
+        (None, 0): (2.0, 1.0, 5, 1, 2),
+    }

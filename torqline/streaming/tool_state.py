@@ -1,90 +1,78 @@
 """Running tool state per machine, kept by the stream.
 
-State is keyed by machine and id chunk, not by machine alone: a machine that sends a large
-part of all readings spreads over many keys. Chunks are stitched when the state is read.
+A micro-batch becomes pieces, one row per machine and id chunk, not one per machine alone: a machine that sends a large
+part of all readings spreads over many pieces. Pieces are stitched when the state is read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.window import WindowSpec
 
 from torqline.sources.sinks import write_batch
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 CHUNK_IDS = 1 << 16
 
-_STATE = "first_wear double, last_wear double, last_id long, resets long, readings long"
-_OUTPUT = f"machine_id string, chunk long, {_STATE}"
-
 
-class _ChunkState(StatefulProcessor):
-    """Resets within one chunk of a machine's history.
+def _fell(now: str, before: WindowSpec) -> Column:
+    """1 where wear is below that of the row before, 0 also where either is missing."""
+    return F.coalesce((F.col(now) < F.lag("last_wear").over(before)).cast("long"), F.lit(0).cast("long"))
 
-    A key sees at most the ids of its chunk, so sorting its rows of a micro-batch is bounded.
-    """
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("chunk", _STATE)
+def tool_pieces(readings: DataFrame, chunk_ids: int = CHUNK_IDS) -> DataFrame:
+    """Tool changes inside each chunk of a machine's readings, and the wear at both of its ends.
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows)).sort_values("id")
-        wear = new["tool_wear_minutes"]
-        resets = int((wear.diff() < 0).sum())
-        first, readings = float(wear.iloc[0]), len(new)
-        if self.state.exists():
-            old_first, old_last, _, old_resets, old_readings = self.state.get()
-            resets += old_resets + int(first < old_last)
-            first, readings = old_first, readings + old_readings
-        values = (first, float(wear.iloc[-1]), int(new["id"].iloc[-1]), resets, readings)
-        self.state.update(values)
-        names = ["first_wear", "last_wear", "last_id", "resets", "readings"]
-        yield pd.DataFrame({"machine_id": [key[0]], "chunk": [key[1]], **{n: [v] for n, v in zip(names, values)}})
-
-    def close(self) -> None:
-        pass
+    A window meets at most the ids of one chunk, so sorting it is bounded. The shuffle for the windows serves the sums too.
+    """
+    wear = F.nanvl(F.col("tool_wear_minutes"), F.lit(None).cast("double")).alias("last_wear")
+    keyed = readings.select("machine_id", F.expr(f"id div {chunk_ids}").alias("chunk"), "id", wear)
+    inside = Window.partitionBy("machine_id", "chunk").orderBy("id")
+    ends = F.struct("id", "last_wear")
+    pieces = (
+        keyed.withColumn("reset", _fell("last_wear", inside))
+        .groupBy("machine_id", "chunk")
+        .agg(
+            F.min(ends).alias("first"),
+            F.max(ends).alias("last"),
+            F.sum("reset").alias("resets"),
+            F.count(F.lit(1)).alias("readings"),
+        )
+    )
+    return pieces.select(
+        "machine_id",
+        "chunk",
+        F.col("first.last_wear").alias("first_wear"),
+        F.col("last.last_wear").alias("last_wear"),
+        F.col("last.id").alias("last_id"),
+        "resets",
+        "readings",
+    )
 
 
 def start_tool_state(
     stream: DataFrame, output: str, checkpoint: str, chunk_ids: int = CHUNK_IDS, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Keep the chunk states and write each changed one under the number of its micro-batch.
+    """Write the pieces of each micro-batch under its number.
 
     Readings of a chunk must arrive in id order between micro-batches, in any order within one.
     """
-    keyed = stream.select(
-        "machine_id", F.expr(f"id div {chunk_ids}").alias("chunk"), "id", "tool_wear_minutes"
-    ).groupBy("machine_id", "chunk")
-    changed = keyed.transformWithStateInPandas(_ChunkState(), _OUTPUT, "Update", "None")
+    needed = stream.select("machine_id", "id", "tool_wear_minutes")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, output, batch_id, "batch_id")
+        write_batch(tool_pieces(batch, chunk_ids), output, batch_id, "batch_id")
 
-    writer = changed.writeStream.outputMode("update").foreachBatch(handle).option("checkpointLocation", checkpoint)
-    # A query keeps the settings it started with, so the session gets its own back.
-    conf = stream.sparkSession.conf
-    before = conf.get(_PROVIDER, None)
-    conf.set(_PROVIDER, ROCKSDB)
-    try:
-        return writer.trigger(**(trigger or {"availableNow": True})).start()
-    finally:
-        conf.set(_PROVIDER, before) if before else conf.unset(_PROVIDER)
+    writer = needed.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def current_tools(spark: SparkSession, output: str) -> DataFrame:
     """Tool changes so far, current wear and readings of every machine."""
-    columns = ["first_wear", "last_wear", "last_id", "resets", "readings"]
-    newest = F.max_by(F.struct(*columns), "batch_id").alias("s")
-    chunks = spark.read.parquet(output).groupBy("machine_id", "chunk").agg(newest).select("machine_id", "chunk", "s.*")
-    across = Window.partitionBy("machine_id").orderBy("chunk")
-    changed = F.coalesce((F.col("first_wear") < F.lag("last_wear").over(across)).cast("long"), F.lit(0).cast("long"))
+    across = Window.partitionBy("machine_id").orderBy("chunk", "batch_id")
     return (
-        chunks.withColumn("changed", changed)
+        spark.read.parquet(output)
+        .withColumn("changed", _fell("first_wear", across))
         .groupBy("machine_id")
         .agg(
             F.sum(F.col("resets") + F.col("changed")).alias("tool_changes"),
