@@ -23,7 +23,16 @@ from torqline.streaming.scoring import ProductionModels
 from torqline.training import sampling
 from torqline.training.calibration import calibrated_probabilities, fit_sigmoids
 from torqline.training.experiments import EXPERIMENTS, draw
-from torqline.training.model import CalibratedModel, check_classes, side_by_side, train_model
+from torqline.training.model import (
+    SCORED_PER_TASK,
+    CalibratedModel,
+    check_classes,
+    cut_lineage,
+    rows_per_task,
+    side_by_side,
+    spread_rows,
+    train_model,
+)
 from torqline.training.tuning import search, trial_points, tune_model
 
 SMALL = {
@@ -83,6 +92,28 @@ def test_registered_search_has_all_trials_and_nothing_fixed(spark, sf_dir, monke
         catalog.QUERIES["tune_gbt"](spark, sf_dir)
 
 
+@pytest.mark.parametrize("name, tasks", [("lgbm_multiclass", 1), ("xgb_binary", 1), ("rf_binary", 4)])
+def test_boosted_fits_of_a_window_have_one_task_per_step(spark, name, tasks):
+    """Forests have few and heavy steps and keep theirs; scoring, one step, is spread wider than both."""
+    rows = spark.range(100).withColumnRenamed("id", "UDI")
+    spread = spread_rows(rows, 40_000, per_task=rows_per_task(EXPERIMENTS[name]))
+    assert spread.rdd.getNumPartitions() == tasks
+    assert spread_rows(rows, 40_000, per_task=SCORED_PER_TASK).rdd.getNumPartitions() == 20
+
+
+def test_cut_lineage_reads_stored_rows(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def seen(rows):
+        for row in rows:
+            calls.add(1)
+            yield row
+
+    made = cut_lineage(spark.range(7).rdd.mapPartitions(seen).toDF())
+    before = calls.value
+    assert sorted(r["id"] for r in made.collect()) == list(range(7)) and calls.value == before
+
+
 def test_rare_class_is_refused():
     with pytest.raises(ValueError, match="at least 3"):
         check_classes({0: 100, 1: 2}, EXPERIMENTS["rf_binary"])
