@@ -20,7 +20,7 @@ from torqline.sources import readings as rd
 from torqline.sources import schemas
 from torqline.sources.model_store import ModelStore
 from torqline.streaming.scoring import ProductionModels
-from torqline.training import sampling
+from torqline.training import sampling, tuning
 from torqline.training.calibration import calibrated_probabilities, fit_sigmoids
 from torqline.training.experiments import EXPERIMENTS, draw
 from torqline.training.model import (
@@ -114,6 +114,20 @@ def test_cut_lineage_reads_stored_rows(spark):
     assert sorted(r["id"] for r in made.collect()) == list(range(7)) and calls.value == before
 
 
+def test_all_folds_of_all_points_are_fitted_side_by_side(spark, sf_dir, monkeypatch):
+    together = []
+
+    def noted(session, tasks):
+        together.append(len(tasks))
+        return [float(i) for i in range(len(tasks))]
+
+    monkeypatch.setattr(tuning, "side_by_side", noted)
+    table = rd.failure_pattern(rd.events(spark, sf_dir))
+    _, trials = tune_model(table, EXPERIMENTS["lgbm_binary"], trials=5)
+    assert together == [4 * C.CV_FOLDS, C.CV_FOLDS]
+    assert [t["mean_f1"] for t in trials] == [2.0, 7.0, 12.0, 17.0, 2.0]
+
+
 def test_rare_class_is_refused():
     with pytest.raises(ValueError, match="at least 3"):
         check_classes({0: 100, 1: 2}, EXPERIMENTS["rf_binary"])
