@@ -128,6 +128,22 @@ def test_all_folds_of_all_points_are_fitted_side_by_side(spark, sf_dir, monkeypa
     assert [t["mean_f1"] for t in trials] == [2.0, 7.0, 12.0, 17.0, 2.0]
 
 
+def test_score_batch_model_spreads_the_readings(spark, sf_dir, readings, monkeypatch):
+    """A table in one file would be scored in one task."""
+    model = CalibratedModel(None, [], [], "probability", 2)
+    monkeypatch.setattr(catalog, "_trained", lambda *_: (None, model, None, None))
+    monkeypatch.setattr(catalog, "SCORED_PER_TASK", 100)
+
+    def seen(source, gate, detail):
+        assert source.rdd.getNumPartitions() == math.ceil(readings.count() / 100)
+        assert source.select("id").exceptAll(readings.select("id")).count() == 0 and source.count() == readings.count()
+        raise Stop
+
+    monkeypatch.setattr(scoring, "gate_and_detail", seen)
+    with pytest.raises(Stop):
+        catalog.score_batch_model(spark, sf_dir)
+
+
 def test_rare_class_is_refused():
     with pytest.raises(ValueError, match="at least 3"):
         check_classes({0: 100, 1: 2}, EXPERIMENTS["rf_binary"])
