@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from torqline.llm import packing, records
+from torqline.llm import packing, records, tokens
 from torqline.llm.tokens import encoder
 
 BYTES, WORDS = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -27,6 +27,43 @@ def test_pieces_give_the_ids_of_whole_texts(path, rows):
         assert encoder(path).encode(text) == expected, text[:60]
 
 
+class Counted:
+    """A tokenizer that counts how often it is asked."""
+
+    def __init__(self, library):
+        self.library, self.calls, self.model = library, 0, self
+
+    def __getattr__(self, name):
+        found = getattr(self.library.model if name == "tokenize" else self.library, name)
+
+        def counted(*args, **named):
+            self.calls += 1
+            return found(*args, **named)
+
+        return counted
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+@pytest.mark.parametrize("memo_pieces", [10, 1_000_000])
+def test_texts_together_give_the_ids_of_each(path, memo_pieces, rows, monkeypatch):
+    monkeypatch.setattr(tokens, "TOGETHER_CHARS", 5000)
+    plain = Tokenizer.from_file(path)
+    texts = [t for _, t in rows] + ODD + [f" {t}" for t in ODD]
+    expected = [np.array(plain.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    own = tokens.Encoder(path, memo_pieces)
+    for _ in range(2):
+        assert list(own.encode_all(iter(texts))) == expected
+    assert list(own.encode_all([])) == []
+
+
+def test_new_words_go_to_the_library_together(rows):
+    own = tokens.Encoder(BYTES)
+    own.library = counted = Counted(own.library)
+    text = " ".join(t for _, t in rows[:30])
+    assert own.encode(text) == tokens.Encoder(BYTES).encode(text)
+    assert len(set(text.split(" "))) > 1000 and counted.calls < 10
+
+
 def ids(path, text, end):
     return Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids + [end]
 

@@ -31,6 +31,7 @@ _HEAD, _BODY, _INDEX = "<QI", "<BqB", "<QQQ"
 _HEAD_BYTES, _BODY_BYTES, _INDEX_BYTES = map(struct.calcsize, (_HEAD, _BODY, _INDEX))
 _MASK = 0xA282EAD8  # fixed value: keeps the checksum of data that holds checksums apart from its own
 _READ_ROWS = 2048
+MEMO_PIECES = 1_000_000  # pieces with their ids that a worker remembers here: some 200 bytes each
 
 
 def masked_crc(data: bytes) -> int:
@@ -68,13 +69,14 @@ def _writer(folder: str, tokenizer: str, end_id: int, width: int):
         store, base = _opened(folder)
         part = TaskContext.get().partitionId()
         own = f"{base}/.{part}-{uuid.uuid4().hex}"
-        end, ids_of = struct.pack("<I", end_id), encoder(tokenizer)
+        end, ids_of = struct.pack("<I", end_id), encoder(tokenizer, MEMO_PIECES)
         at = records = tokens = 0
         with store.open_output_stream(f"{own}.bin") as data, store.open_output_stream(f"{own}.idx") as index:
             for batch in batches:
-                for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                    ids = ids_of.encode(text.as_py()) + end
-                    record = frame(doc_id.as_py(), ids, width)
+                texts = (text.as_py() for text in batch.column(1))
+                for doc_id, ids in zip(batch.column(0).to_pylist(), ids_of.encode_all(texts), strict=True):
+                    ids += end
+                    record = frame(doc_id, ids, width)
                     data.write(record)
                     index.write(struct.pack(_INDEX, at, len(record), len(ids) // 4))
                     at, records, tokens = at + len(record), records + 1, tokens + len(ids) // 4
