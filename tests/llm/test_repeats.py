@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from torqline.llm import repeats
@@ -39,6 +40,51 @@ def test_removed_bytes_match_brute_force(docs, rows, span, gram, bucket_bytes):
     assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"], len(r["spans"]), r["kept_sha256"]) for r in got) == expected
 
 
+@pytest.mark.parametrize("parts", [1, 3, 50])
+def test_only_windows_that_can_repeat_are_sorted(monkeypatch, parts):
+    """Texts around one common gram; some of them share more, exactly a window or one byte less."""
+    monkeypatch.setattr(repeats, "PARTS", parts)
+    rng, span, gram = random.Random(8), 60, 12
+    word = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    common, left, right = word(gram), word(70), word(70)
+    rows = [(i, word(90) + common + word(90)) for i in range(60)]
+    rows += [(100 + i, word(30) + left[70 - a :] + common + right[: span - gram - a] + word(30)) for i, a in enumerate([0, 0, 20, 20, 48, 48])]
+    rows += [(200 + i, "#" * (i + 1) + left + common + right[:n] + "#" * (i + 1)) for i, n in enumerate([0, 30, 70])]
+    rows += [(300 + i, word(9) + right[: span - 1 + i] + word(9)) for i in range(3)]
+    pieces = [p for p in repeats._cut_pieces(span, gram)(iter([_with_buckets(rows, span, gram)]))]
+    cut = [tuple(r[c] for c in ("bucket", "text_a", "start", "anchor", "piece")) for p in pieces for r in p.to_pylist()]
+    cut = sorted(r for r in cut if r[0] is not None)
+    sizes = []
+
+    class Counted(repeats.RunLengthIndex):
+        def __init__(self, texts):
+            sizes.append(sum(map(len, texts)))
+            super().__init__(texts)
+
+    monkeypatch.setattr(repeats, "RunLengthIndex", Counted)
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*cut)], names=list("bxyap"))
+    found = defaultdict(set)
+    for out in repeats._index_buckets(span, 1 << 20, gram)(iter([batch])):
+        for r in out.to_pylist():
+            for first, end in zip(r["runs"][::2], r["runs"][1::2]):
+                found[r["piece_a"]] |= {i + r["piece_b"] for i in range(first, end)}
+    windows = Counter(t[i : i + span] for _, t in rows for i in range(len(t) - span + 1))
+    expected = {i: {k for k in range(len(t) - span + 1) if windows[t[k : k + span]] > 1} for i, t in rows}
+    assert found == {i: places for i, places in expected.items() if places} and len(found) >= 8
+    assert sum(sizes) < sum(len(r[4]) for r in cut) / (1 if parts == 1 else 4)
+
+
+def _with_buckets(rows, span, gram):
+    """The rows, each with all of its buckets."""
+    texts = pa.array([t for _, t in rows])
+    keys = defaultdict(list)
+    ids = pa.array([i for i, _ in rows], pa.int64())
+    for out in repeats._keys(span, gram)(iter([pa.RecordBatch.from_arrays([ids, ids, texts], names=list("abt"))])):
+        for r in out.to_pylist():
+            keys[r["text_a"]].append(r["bucket"])
+    return pa.RecordBatch.from_arrays([ids, ids, texts, pa.array([keys[i] for i, _ in rows])], names=list("abtk"))
+
+
 def test_empty_table(nothing):
     assert repeats.repeated_passages(nothing).count() == 0
 
