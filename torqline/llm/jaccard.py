@@ -32,6 +32,8 @@ PERCENT = 80  # similarity of a link
 COUNTERS = 1 << 16  # hashed shingle counts; they set the order only, any counts give the same links
 RANGES = 128  # hash ranges of the suffix filter
 PARITY = 16  # 64-bit numbers of the parity filter
+SLICE_BYTES = 1 << 19  # texts that a worker cuts together; what it holds for them is about 20 times that
+COUNT_TOGETHER = 1 << 18  # shingles that are counted together
 LEADER_ROUNDS = 3
 # Members of its main group, and others, that those outside it are held against in later rounds, where a shingle has
 # four times as many outside.
@@ -48,7 +50,7 @@ _FACTORS = np.random.default_rng(11).integers(1, 1 << 63, SHINGLE, dtype=np.uint
 def shingle_sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
     """(document, sorted distinct 64-bit shingle hashes) for every document of the column."""
     data, offsets = words.text_bytes(column)
-    for i, j in words.slices(offsets):
+    for i, j in words.slices(offsets, SLICE_BYTES):
         own, cut = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         starts, ends, first = words.word_spans(own, cut, _WORD)
         hashes = words.span_hashes(own, starts, ends)
@@ -94,16 +96,22 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Kind 0: a document, its set size and a 128-bit signature of its set. Kind 1: a counter of this task."""
     names = ["kind", "key", "n", "sig_a", "sig_b"]
     counters = np.zeros(COUNTERS, np.int64)
+    held, size = [], 0
     for batch in batches:
         n, sig = np.zeros(batch.num_rows, np.int64), np.zeros((2, batch.num_rows), np.uint64)
         for d, shingles in shingle_sets(batch.column(1)):
             n[d] = len(shingles)
             sig[:, d] = _signature(shingles)
-            counters += np.bincount((shingles & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+            held.append((shingles & np.uint64(COUNTERS - 1)).astype(np.int64))
+            size += len(shingles)
+            if size >= COUNT_TOGETHER:
+                counters += np.bincount(np.concatenate(held), minlength=COUNTERS)
+                held, size = [], 0
         zero = pa.array(np.zeros(batch.num_rows, np.int32))
         yield pa.RecordBatch.from_arrays(
             [zero, batch.column(0), pa.array(n), pa.array(_signed(sig[0])), pa.array(_signed(sig[1]))], names=names
         )
+    counters += np.bincount(np.concatenate([*held, np.zeros(0, np.int64)]), minlength=COUNTERS)
     used = np.flatnonzero(counters)
     nothing = pa.array(np.zeros(len(used), np.int64))
     yield pa.RecordBatch.from_arrays(
@@ -173,8 +181,10 @@ def _similar(shared, n_a, n_b):
 class _Join:
     """The tables of one join."""
 
-    def __init__(self, docs: DataFrame):
+    def __init__(self, docs: DataFrame, every: DataFrame | None = None):
         self.docs = docs  # node, text; one row per distinct set
+        # The same and rows of other nodes, cheaper to read: texts of given nodes come from here.
+        self.every = docs if every is None else every
         self.verified: list[DataFrame] = []  # (a, b) compared so far
         self.links: list[DataFrame] = []
         self.known: list[DataFrame] = []  # node, shingles of the documents compared so far
@@ -200,7 +210,7 @@ class _Join:
             # The prefixes of other documents stay as they are.
             moved = stored(prefix.join(F.broadcast(often.select("shingle")), "shingle").select("node").distinct(), "moved")
             moved = sent_if_small(moved, moved.count(), 24)
-            again = self.docs.join(moved, "node", "left_semi").mapInArrow(_prefixes(counts, frequent), schema)
+            again = self.every.join(moved, "node", "left_semi").mapInArrow(_prefixes(counts, frequent), schema)
             nodes = nodes.join(moved, "node", "left_anti").unionByName(stored(again, "prefixes", TEXT_BATCH))
         self.nodes = nodes
         prefix = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "shingle"))
@@ -231,7 +241,7 @@ class _Join:
         needed = rows
         for have in self.known:
             needed = needed.join(have.select("node"), "node", "left_anti")
-        texts = self.docs.join(sent_if_small(needed, size, 24), "node", "left_semi").select("node", "text")
+        texts = self.every.join(sent_if_small(needed, size, 24), "node", "left_semi").select("node", "text")
         self.known.append(stored(texts.mapInArrow(_sets, "node long, shingles array<long>"), "sets", TEXT_BATCH))
         sets = self.known[0]
         for more in self.known[1:]:
@@ -395,17 +405,17 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     )
     known = rows.filter("doc_id IS NOT NULL")
     alone = known.join(sent_if_small(copies, copies.count(), 24), "doc_id", "left_anti")
-    texts = alone.select(F.col("doc_id").alias("node"), "text")
+    # A node names its own row, so the rows of given nodes are found without leaving out the copies again.
+    texts, every = (part.select(F.col("doc_id").alias("node"), "text") for part in (alone, known))
     if many:
         parts = known.join(sent_if_small(torn, many, 24), "doc_id", "left_semi")
         parts = stored(
             parts.mapInArrow(_with_signatures, "n long, sig_a long, sig_b long, text string"), "torn-texts", TEXT_BATCH
         )
         unnamed = sets.filter("own IS NULL AND node IS NOT NULL").select(*key, "node")
-        texts = texts.unionByName(
-            stored(parts.join(unnamed, key).groupBy("node").agg(F.min("text").alias("text")), "torn-sets")
-        )
-    join = _Join(texts)
+        torn_sets = stored(parts.join(unnamed, key).groupBy("node").agg(F.min("text").alias("text")), "torn-sets")
+        texts, every = (part.unionByName(torn_sets) for part in (texts, every))
+    join = _Join(texts, every)
     if many:
         held = each.filter("n > 0").join(sent_if_small(torn, many, 24), "doc_id", "left_semi")
         held = stored(held.join(sets.select(*key, "node"), key).select("doc_id", "node").distinct(), "torn-nodes")
