@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from llm.conftest import SCHEMA, lowered, row, words_of
@@ -88,6 +89,30 @@ def test_pairs_grow_with_the_group_not_with_its_square(spark, monkeypatch, tmp_p
     assert totals[800] < 6 * totals[200]
 
 
+def test_copies_are_left_out_once(docs, monkeypatch):
+    """Texts of given nodes are found by their id; the copies are not left out again for each use."""
+    plans = []
+
+    def stored(df, label, *rest, own=jaccard.stored):
+        plans.append((label, df._jdf.queryExecution().analyzed().toString()))
+        return own(df, label, *rest)
+
+    monkeypatch.setattr(jaccard, "stored", stored)
+    found(docs)
+    assert sum(label == "sets" for label, _ in plans) > 1
+    assert [label for label, plan in plans if re.search(r"Join LeftAnti, \(doc_id#\d+L = doc_id#\d+L\)", plan)] == ["prefixes"]
+
+
+@pytest.mark.parametrize("together", [1, 1 << 18])
+def test_counters_hold_every_shingle(rows, monkeypatch, together):
+    monkeypatch.setattr(jaccard, "COUNT_TOGETHER", together)
+    texts = pa.array([t for _, t in rows])
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), texts], names=["doc_id", "text"])
+    *_, counters = jaccard._signatures(iter([batch, batch]))
+    expected = Counter(int(s) % jaccard.COUNTERS for _, own in jaccard.shingle_sets(texts) for s in own)
+    assert {r["key"]: r["n"] for r in counters.to_pylist()} == {key: 2 * n for key, n in expected.items()}
+
+
 def test_ids_with_different_texts_are_one_node(spark, tmp_path):
     rng = random.Random(12)
     a, b, c, d, e, f, g, h, i, j = (words_of(rng, 100) for _ in range(10))
