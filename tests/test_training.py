@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from torqline import config as C
 from torqline.functions import features
-from torqline.operators import registry, scoring
+from torqline.operators import etl, registry, scoring
 from torqline.plans import catalog
 from torqline.session import scratch_path
 from torqline.sources import readings as rd
@@ -61,6 +61,14 @@ def test_every_experiment_trains_calibrated(small_table, name):
     assert params["model_family"] == experiment.family
 
 
+def test_training_after_a_purge_in_the_same_session(spark, small_table):
+    """Models with a training summary hold the session, which must stay one that tasks can be sent with."""
+    assert etl.purge_exported(spark.range(20), spark.range(5), scratch_path(spark, "purged")) == 5
+    assert etl.purge_exported(spark.range(20), spark.range(20), scratch_path(spark, "purged")) == 20
+    _, scores, _ = train_model(small_table, EXPERIMENTS["logreg_binary"].with_params(**SMALL["logreg"]))
+    assert 0.0 <= scores["f1_test"] <= 1.0
+
+
 def test_twelve_experiments():
     assert len(EXPERIMENTS) == 12
     families = {e.family for e in EXPERIMENTS.values()}
