@@ -28,6 +28,7 @@ from torqline.training.model import (
     CalibratedModel,
     check_classes,
     cut_lineage,
+    fits_at_once,
     rows_per_task,
     side_by_side,
     spread_rows,
@@ -90,6 +91,28 @@ def test_registered_training_has_the_published_settings(spark, sf_dir, monkeypat
         catalog.QUERIES[name](spark, sf_dir)
 
 
+def test_the_multiclass_boosting_trains_on_the_whole_table(spark, tmp_path, monkeypatch):
+    """One row more than the training window; the query must see the oldest one too."""
+    rows = C.TRAINING_WINDOW + 1
+    empty = [F.lit(None).cast(field.dataType).alias(field.name) for field in schemas.EVENTS.fields[1:]]
+    events = spark.range(rows).select(F.col("id").alias("event_id"), *empty)
+    events.write.parquet(str(tmp_path / "events.parquet"))
+
+    def seen(table, experiment):
+        assert table.agg(F.count("UDI"), F.countDistinct("UDI"), F.min("UDI")).first()[:] == (rows, rows, 1)
+        raise Stop
+
+    monkeypatch.setattr(catalog, "train_model", seen)
+    with pytest.raises(Stop):
+        catalog.QUERIES["train_xgb_multiclass"](spark, str(tmp_path))
+
+
+@pytest.mark.parametrize("rows, expected", [(0, (3, 5)), (50_000, (3, 5)), (400_000, (3, 1)), (800_000, (2, 1)), (10**8, (1, 1))])
+def test_fits_of_a_large_table_follow_one_another(spark, rows, expected):
+    """Eight cores; each fit of a large table has a task for every 50,000 rows."""
+    assert fits_at_once(spark, rows, EXPERIMENTS["xgb_multiclass"]) == expected
+
+
 def test_registered_search_has_all_trials_and_nothing_fixed(spark, sf_dir, monkeypatch):
     def seen(table, experiment, trials=30, **rest):
         assert experiment == EXPERIMENTS[experiment.name] and trials == 30 and not rest.get("fixed")
